@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyweave.catalogue.registry import query
 from tallyweave.operators import audits, headers, lookups, stacking, transfer
-from tallyweave.session import shared_folder
+from tallyweave.session import run_folder
 from tallyweave.sources import (
     clean_control,
     drop_empty_rows,
@@ -23,7 +23,7 @@ from tallyweave.streaming import intake_files
 
 
 def _scratch(t, name: str) -> str:
-    return f"{shared_folder(t.spark)}/tallyweave-{uuid.uuid4().hex}/{name}"
+    return f"{run_folder(t.spark)}/{uuid.uuid4().hex}/{name}"
 
 
 @query(

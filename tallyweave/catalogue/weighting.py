@@ -287,7 +287,7 @@ _BLANK_SQL = """
 def redistribute_blank(t):
     people = t.customer.groupBy(*_BY).agg((F.count(F.lit(1)) * 10).cast("double").alias("POPULATION"))
     joined = t.orders.filter("o_totalprice > 490000").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    sample = joined.groupBy(*_BY).agg(F.countDistinct("o_custkey").cast("double").alias("SAMPLE"))
+    sample = stage(joined.groupBy(*_BY).agg(F.countDistinct("o_custkey").cast("double").alias("SAMPLE")), "sample")
     moved = weights.redistribute_blank(lookup(people, sample, _BY), ["c_nationkey"])
     moved = moved.withColumnRenamed("POPULATION", "BEFORE").withColumnRenamed("POPULATION_ADJUSTED", "POPULATION")
     factors = weights.population_factor(moved.drop("SAMPLE"), sample, _BY, missing=None)

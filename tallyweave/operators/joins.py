@@ -18,8 +18,10 @@ def lookup(df: DataFrame, table: DataFrame, on: Sequence[str], null_matches: boo
     """Left join that keeps ``df``'s columns first; null keys match only on request.
 
     No broadcast is forced. Spark broadcasts a table whose files are below
-    ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, where
-    adaptive execution splits a hot key of ``df`` over several tasks.
+    ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles both sides,
+    where adaptive execution splits a hot key of ``df`` over several tasks.
+    Stage an aggregated ``table`` first: only then is its size known, and only
+    then is its side of the join a plain shuffle, which the splitting needs.
     """
     if not null_matches:
         return df.join(table, list(on), "left").select(

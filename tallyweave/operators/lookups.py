@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyweave.functions.numbers import to_int
 from tallyweave.operators.joins import lookup
+from tallyweave.session import stage
 
 
 def lookup_section(
@@ -35,9 +36,13 @@ def lookup_section(
 def lookup_sample(
     df: DataFrame, sample: DataFrame, key: str = "NEWSSID", columns: Sequence[str] = ("REGISTERED_NAME", "TRADING_NAME")
 ) -> DataFrame:
-    """Names from the sample frame by key; a name already present is kept if the frame has none."""
+    """Names from the sample frame by key; a name already present is kept if the frame has none.
+
+    The frame is cut to one row per key and staged, so that it joins by
+    broadcast if small and as a plain shuffle otherwise.
+    """
     found = sample.groupBy(key).agg(*[F.min(c).alias(f"_{c}") for c in columns])
-    joined = lookup(df, found, [key])
+    joined = lookup(df, stage(found, "sample_frame"), [key])
     filled = {
         c: F.coalesce(F.col(f"_{c}"), F.col(c)) if c in df.columns else F.col(f"_{c}") for c in columns
     }

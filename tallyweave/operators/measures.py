@@ -14,9 +14,10 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, DoubleType, FloatType, IntegralType
 
 from tallyweave import config
-from tallyweave.functions.numbers import to_number
+from tallyweave.functions.numbers import to_int
 
 _NAME = re.compile(r"^(?P<letter>[A-Z])(?P<period>\d{5})(?P<rest>.*)(?P<digit>\d)$")
 
@@ -51,9 +52,15 @@ def measure_groups(columns: Sequence[str], start: int = 0) -> dict[str, list[str
     return dict(sorted(groups.items()))
 
 
-def _whole(name: str) -> Column:
+def _whole(df: DataFrame, name: str) -> Column:
     """Missing or bad values are 0, decimals are cut."""
-    return F.coalesce(to_number(f"`{name}`").try_cast("long"), F.lit(0).cast("long"))
+    column = F.col(f"`{name}`")
+    kind = df.schema[name].dataType
+    if isinstance(kind, IntegralType):
+        return F.coalesce(column.cast("long"), F.lit(0).cast("long"))
+    if isinstance(kind, (DoubleType, FloatType, DecimalType)):
+        return F.coalesce(column.try_cast("long"), F.lit(0).cast("long"))
+    return to_int(column)
 
 
 def _add(columns: list[Column]) -> Column:
@@ -83,14 +90,14 @@ def category_total_parts(
 def add_totals(df: DataFrame, totals: Mapping[str, Sequence[str]]) -> DataFrame:
     """Replace each total column by the sum of its parts; parts become whole numbers.
 
-    One projection, no shuffle. Columns keep their places.
+    Two projections, no shuffle: one reads the numbers, one adds them up.
+    Columns keep their places.
     """
-    touched = set(totals) | {p for parts in totals.values() for p in parts}
-    return df.select(
+    parts = {p for names in totals.values() for p in names}
+    read = df.select(*[_whole(df, c).alias(c) if c in parts else F.col(f"`{c}`") for c in df.columns])
+    return read.select(
         *[
-            _add([_whole(p) for p in totals[c]]).alias(c)
-            if c in totals
-            else (_whole(c).alias(c) if c in touched else F.col(f"`{c}`"))
+            _add([F.col(f"`{p}`") for p in totals[c]]).alias(c) if c in totals else F.col(f"`{c}`")
             for c in df.columns
         ]
     )
@@ -118,17 +125,18 @@ def establishment_totals(
 def to_long(df: DataFrame, ids: Sequence[str], start: int = 0) -> DataFrame:
     """(ids, variable, period, category, measure, value) rows of all measures."""
     measures = parse_measures(df.columns, start)
-    wide = df.select(*ids, *[_whole(m.name).alias(m.name) for m in measures])
-    long = wide.unpivot(list(ids), [f"`{m.name}`" for m in measures], "measure", "value")
-    name = F.col("measure")
-    return long.select(
-        *ids,
-        F.substring(name, 1, 1).alias("variable"),
-        F.substring(name, 2, 5).alias("period"),
-        F.right(name, F.lit(1)).alias("category"),
-        "measure",
-        "value",
-    )
+    read = df.select(*ids, *[_whole(df, m.name).alias(m.name) for m in measures])
+    entries = [
+        F.struct(
+            F.lit(m.variable).alias("variable"),
+            F.lit(m.period).alias("period"),
+            F.lit(m.digit).alias("category"),
+            F.lit(m.name).alias("measure"),
+            F.col(f"`{m.name}`").alias("value"),
+        )
+        for m in measures
+    ]
+    return read.select(*ids, F.inline(F.array(*entries)))
 
 
 def long_row_total(long: DataFrame, ids: Sequence[str], parts: Sequence[str], total: str) -> DataFrame:

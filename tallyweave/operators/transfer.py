@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.operators.dedupe import first_rows
+from tallyweave.session import stage
 
 
 def first_donors(donors: DataFrame, key: str, weight: str, order: str | Sequence[str]) -> DataFrame:
@@ -27,9 +28,11 @@ def transfer_weight(
     """Give each target row the weight of its donor and tell how it matched.
 
     ``MATCH`` is ``id``, ``name`` or ``none``. A matching ID decides even if its
-    weight is null. Unmatched rows keep the weight they had. Donors hold one
-    row per key before the join, so a hot key on the target side only makes its
-    join partition large, which adaptive execution splits.
+    weight is null. Unmatched rows keep the weight they had.
+
+    Donors are cut to one row per key and staged. Small donor tables then join
+    by broadcast; large ones meet the target as two plain shuffles, the shape in
+    which adaptive execution splits a hot key of the target over many tasks.
     """
     by_id = first_donors(donors, id_column, weight, order).select(
         F.col(id_column).alias("_id"), F.col(weight).alias("_id_weight"), F.lit(True).alias("_id_hit")
@@ -37,6 +40,7 @@ def transfer_weight(
     by_name = first_donors(donors, name_column, weight, order).select(
         F.col(name_column).alias("_name"), F.col(weight).alias("_name_weight"), F.lit(True).alias("_name_hit")
     )
+    by_id, by_name = stage(by_id, "donors_by_id"), stage(by_name, "donors_by_name")
     joined = target.join(by_id, F.col(id_column) == F.col("_id"), "left").join(
         by_name, F.col(name_column) == F.col("_name"), "left"
     )

@@ -11,10 +11,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave import config
+from tallyweave.functions.fields import fixed_width
 from tallyweave.functions.numbers import exact_sum, factor_or_one
 from tallyweave.functions.periods import stamp
 from tallyweave.operators import audits, cells, classify, dedupe, weights
@@ -35,16 +36,23 @@ class HouseholdWeights:
     quality: dict[str, DataFrame] = field(default_factory=dict)
 
 
-def prepare_household(raw: DataFrame, semantics: str = config.DOCUMENTED) -> DataFrame:
-    """Header clean-up, ID, response key and classes. ``raw`` may carry ``_ord``."""
-    order = [ORDER] if ORDER in raw.columns else []
-    named = upper_headers(raw.drop(ORDER))
-    if order:
+def prepare_household(raw: DataFrame) -> DataFrame:
+    """Header clean-up, ID and classes. ``raw`` may carry ``_ord``."""
+    if ORDER in raw.columns:
         named = upper_headers(raw.withColumnRenamed(ORDER, "_ORD")).withColumnRenamed("_ORD", ORDER)
-    with_id = classify.build_id(named)
-    key = F.concat(*[F.coalesce(F.col(c), F.lit("")) for c in config.RESPONSE_FIELDS])
-    classified = classify.classify(with_id.withColumn("PF_INPUT", key))
-    return classified.withColumn("GRP", classify.cell_group(semantics))
+    else:
+        named = upper_headers(raw)
+    return classify.classify(classify.build_id(named))
+
+
+def with_cell_group(people: DataFrame, semantics: str = config.DOCUMENTED) -> DataFrame:
+    """Add ``GRP``, the ethnic part of the cell key."""
+    return people.withColumn("GRP", classify.cell_group(semantics))
+
+
+def response_key() -> Column:
+    """Response key as text, from the fields in their ID widths."""
+    return F.concat(*[F.coalesce(fixed_width(c, config.ID_WIDTHS[c]), F.lit("")) for c in config.RESPONSE_FIELDS])
 
 
 def weight_household(
@@ -68,7 +76,9 @@ def weight_household(
     ``share_blank_cells`` moves the population of blank cells first.
     """
     config.check_semantics(semantics)
-    people = stage(prepare_household(raw, semantics), "people")
+    # Keys that follow from other columns are left out of the stage: it is smaller
+    # for it, and its projection stays within what the JVM compiles.
+    people = with_cell_group(stage(prepare_household(raw), "people"), semantics)
 
     counts = cells.responding_counts(people)
     frame = households.select(
@@ -99,7 +109,7 @@ def weight_household(
     ratios = stage(weights.control_ratios(estimates, _controls(controls), DOMAIN), "ratios")
 
     table = stage(lookup(weighed.drop("records"), ratios.drop("in_sample"), DOMAIN), "applied")
-    out = people
+    out = people.withColumn("PF_INPUT", response_key())
     if order is not None:
         out = dedupe.mark_first(out, config.RESPONSE_FIELDS, order, order_is_unique=True)
     out = lookup(out, table, COMBINATION, null_matches=True)

@@ -25,6 +25,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Folder of this application's staged tables; delete it when its results are stored."""
+    return f"{shared_folder(spark)}/tallyweave/{spark.sparkContext.applicationId}"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -34,7 +39,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     it is below ``spark.sql.autoBroadcastJoinThreshold`` and by shuffle above.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tallyweave-{uuid.uuid4().hex}/{label}"
+    path = f"{run_folder(spark)}/{uuid.uuid4().hex}/{label}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyweave.operators import cells, dedupe, weights
 from tallyweave.plans import prepare_household, roll_up, weight_household
+from tallyweave.plans.household import with_cell_group
 
 
 def finals(result):
@@ -59,7 +60,7 @@ def test_quality_tables(spark):
 
 def test_operator_chain_equals_plan(spark):
     """The plan works on counted combinations; the operators one by one work on records."""
-    people = prepare_household(fx.raw(spark))
+    people = with_cell_group(prepare_household(fx.raw(spark)))
     frame = fx.households(spark).withColumnRenamed("KOD_NEGERI", "NG")
     design = weights.design_weight(frame, cells.responding_counts(people))
     weighed = weights.attach_weight(people, weights.spread_weight(design, fx.crosswalk(spark)))
