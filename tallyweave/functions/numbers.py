@@ -35,9 +35,12 @@ def is_whole_number(c: Column | str) -> Column:
 
 
 def round_half_even(c: Column | str, digits: int = 0) -> Column:
-    """Round the double, ties to even, the way array libraries do: scale, rint, unscale."""
+    """Round the double, ties to even, the way array libraries do: scale, rint, unscale.
+
+    Adding zero turns a negative zero into plain zero.
+    """
     scale = float(10**digits)
-    return F.rint(_col(c).cast("double") * scale) / scale
+    return F.rint(_col(c).cast("double") * scale) / scale + F.lit(0.0)
 
 
 def safe_ratio(top: Column | str, bottom: Column | str) -> Column:

@@ -2,13 +2,19 @@ from tallyweave.plans.establishments import clean_establishments
 from tallyweave.plans.household import HouseholdWeights, prepare_household, weight_household
 from tallyweave.plans.individuals import prepare_individuals, transfer_individual_weights
 from tallyweave.plans.rollup import roll_up, stack_finals
+from tallyweave.plans.runs import control_period, run_establishments, run_individual, run_monthly, run_roll_up
 
 __all__ = [
     "HouseholdWeights",
     "clean_establishments",
+    "control_period",
     "prepare_household",
     "prepare_individuals",
     "roll_up",
+    "run_establishments",
+    "run_individual",
+    "run_monthly",
+    "run_roll_up",
     "stack_finals",
     "transfer_individual_weights",
     "weight_household",
