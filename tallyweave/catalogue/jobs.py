@@ -54,6 +54,9 @@ def _plain(text: str) -> str:
 def _household_sql(order: str, literal: bool = False) -> str:
     """The whole weighting in SQL; ``order`` ranks the records of one response key."""
     other = "case when cit = 2 then j else grp end" if literal else "grp"
+    attached = ""
+    if literal:
+        attached = "and (cit = 1 or (ng, ku_5) in (select (ng, ku_5) from weighed where cit = 1 and grp is not null and ku_5 is not null))"
     cell_group = "routed" if literal else "case when cit = 1 then routed else 0 end"
     return f"""
     with raw as ({_plain(PEOPLE)}),
@@ -82,7 +85,7 @@ def _household_sql(order: str, literal: bool = False) -> str:
     spread as (select design.ng, design.rin, crosswalk.st, aw from design join crosswalk on crosswalk.ng = design.ng and crosswalk.rin_strata = design.rin),
     weighed as (select people.*, aw from people left join spread using (ng, rin, st)),
     sample as (select ng, cit, ku_5, j, {"case when cit = 2 then 0 else grp end" if literal else "grp"} as grp, sum((aw * 100)::bigint)::double / 100 as sample
-               from weighed where grp is not null and ku_5 is not null group by all),
+               from weighed where grp is not null and ku_5 is not null {attached} group by all),
     columns(i, grp, region) as (values {_COLUMN_ROWS}),
     bands as ({_plain(BANDS)}),
     population as (select bands.ng, case when grp = 0 then 2 else 1 end as cit, ku_5, 1 + female as j, grp, (n * (i + 3))::double as population

@@ -27,8 +27,8 @@ def _firsts(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], orde
     return grouped, [(k, f"_k{i}") for i, k in enumerate(keys)]
 
 
-def _join_firsts(df, keys, order, order_is_unique, how):
-    firsts, pairs = _firsts(df, keys, order, order_is_unique)
+def _join_firsts(df, keys, order, order_is_unique, how, among=None):
+    firsts, pairs = _firsts(df if among is None else among, keys, order, order_is_unique)
     placed = df.withColumn("_place", _order(order))
     match = F.col("_place") == F.col("_first")
     if pairs:
@@ -45,13 +45,16 @@ def mark_first(
     first: int = 1,
     repeat: int = 2,
     order_is_unique: bool = False,
+    among: DataFrame | None = None,
 ) -> DataFrame:
     """Mark the first row of each key and its repeats. Null keys count as equal.
 
+    ``among`` is the table in which a row is first, if ``df`` is a part of it.
+
     ``order`` must tell the rows of one key apart; set ``order_is_unique`` when
     it tells all rows apart (a source position), which narrows the join.
     """
-    joined = _join_firsts(df, keys, order, order_is_unique, "left")
+    joined = _join_firsts(df, keys, order, order_is_unique, "left", among)
     mark = F.when(F.col("_first").isNotNull(), first).otherwise(repeat).cast("int").alias(name)
     return joined.select(*[f"`{c}`" for c in df.columns if c != name], mark)
 

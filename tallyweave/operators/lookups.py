@@ -24,6 +24,7 @@ def lookup_section(
     names = df.columns
     table = industries.select(to_int(f"`{code}`", None).alias("_code"), F.col(section).alias("_section"))
     table = table.filter("_code is not null").groupBy("_code").agg(F.min("_section").alias("_section"))
+    table = stage(table, "sections")
     out = df
     for source, target in targets.items():
         side = table.withColumnRenamed("_section", f"_{target}")

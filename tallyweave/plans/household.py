@@ -65,6 +65,7 @@ def weight_household(
     semantics: str = config.DOCUMENTED,
     keep_unmatched_controls: bool = True,
     share_blank_cells: bool = False,
+    record_id: str | None = None,
     order: str | Sequence[str] | None = ORDER,
     period: dict[str, int] | None = None,
 ) -> HouseholdWeights:
@@ -73,7 +74,9 @@ def weight_household(
     ``households``, ``population`` and ``controls`` are the three templates,
     ``crosswalk`` maps strata to stratum digits. ``order`` names the source
     position for the first-occurrence mark; ``None`` leaves the mark out.
-    ``share_blank_cells`` moves the population of blank cells first.
+    ``share_blank_cells`` moves the population of blank cells first. Records
+    without ``record_id`` (by default the first column) count towards the sample
+    but get no final weight; the quality tables list how many there are.
     """
     config.check_semantics(semantics)
     # Keys that follow from other columns are left out of the stage: it is smaller
@@ -90,7 +93,10 @@ def weight_household(
     design = stage(weights.weight_check(weights.design_weight(frame, stage(counts, "counts"))), "design")
     spread = weights.spread_weight(design, crosswalk)
 
-    grouped = people.groupBy(*COMBINATION).agg(F.count(F.lit(1)).alias("records"))
+    record_id = record_id or next(c for c in people.columns if c != ORDER)
+    grouped = people.groupBy(*COMBINATION).agg(
+        F.count(F.lit(1)).alias("records"), F.count(f"`{record_id}`").alias("identified")
+    )
     combos = lookup(stage(grouped, "combinations"), spread, ["NG", "RIN_STRATA", "ST"])
     combos = combos.withColumn("_sum", F.col("records") * F.col("ADJUSTED_WEIGHT"))
 
@@ -103,15 +109,16 @@ def weight_household(
         lookup(combos, keyed, cells.CELL).withColumn("POPFAC", factor_or_one("POPFAC"))
     )
     weighed = stage(weighed.drop("_sum"), "weights")
-    estimates = weighed.withColumn("_sum", F.col("records") * F.col("PEMBERAT_1")).groupBy(*DOMAIN).agg(
-        exact_sum("_sum", 4).alias("ANGGARAN_SAMPEL_STB")
+    estimates = weighed.withColumn("_sum", F.col("identified") * F.col("PEMBERAT_1")).groupBy(*DOMAIN).agg(
+        exact_sum("_sum", 4).alias("ANGGARAN_SAMPEL_STB"), F.sum("identified").alias("identified")
     )
+    estimates = estimates.filter("identified > 0").drop("identified")
     ratios = stage(weights.control_ratios(estimates, _controls(controls), DOMAIN), "ratios")
 
-    table = stage(lookup(weighed.drop("records"), ratios.drop("in_sample"), DOMAIN), "applied")
-    out = people.withColumn("PF_INPUT", response_key())
+    table = stage(lookup(weighed.drop("records", "identified"), ratios.drop("in_sample"), DOMAIN), "applied")
+    out = people.filter(F.col(f"`{record_id}`").isNotNull()).withColumn("PF_INPUT", response_key())
     if order is not None:
-        out = dedupe.mark_first(out, config.RESPONSE_FIELDS, order, order_is_unique=True)
+        out = dedupe.mark_first(out, config.RESPONSE_FIELDS, order, order_is_unique=True, among=people)
     out = lookup(out, table, COMBINATION, null_matches=True)
     out = out.withColumn("PEMBERAT_FINAL", F.col("WEIGHT_POP") * F.col("PEMBERAT_1"))
     if keep_unmatched_controls:
@@ -127,6 +134,7 @@ def weight_household(
         "imputed": classify.imputation_audit(upper_headers(raw.drop(ORDER))),
         "design_weights": design,
         "weight_discrepancies": audits.discrepancies(design, "SEMAKAN_AW_BMP"),
+        "unidentified": weighed.agg(F.sum(F.col("records") - F.col("identified")).alias("records")),
         "strata_without_weight": weighed.filter("ADJUSTED_WEIGHT is null")
         .groupBy("NG", "RIN_STRATA", "ST")
         .agg(F.sum("records").alias("records")),
@@ -143,8 +151,11 @@ def _controls(controls: DataFrame) -> DataFrame:
 def _factors(sample: DataFrame, target: DataFrame, semantics: str, share_blank_cells: bool) -> DataFrame:
     if semantics == config.LITERAL:
         keys = [c for c in cells.CELL if c != "GRP"]
+        citizens = sample.filter("CIT_NONCIT = 1")
         strangers = sample.filter("CIT_NONCIT = 2").groupBy(*keys).agg(exact_sum("SAMPLE", 2).alias("SAMPLE"))
-        sample = sample.filter("CIT_NONCIT = 1").unionByName(strangers.withColumn("GRP", F.lit(0)))
+        # As coded, non-citizen cells hang on the citizen cells of the same state and band.
+        strangers = strangers.join(citizens.select("NG", "KU_5").distinct(), ["NG", "KU_5"], "left_semi")
+        sample = citizens.unionByName(strangers.withColumn("GRP", F.lit(0)))
     if not share_blank_cells:
         return weights.population_factor(target, sample)
     joined = lookup(target, sample, cells.CELL)

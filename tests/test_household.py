@@ -141,3 +141,25 @@ def test_hot_response_key_does_not_change_marks(spark):
     assert rows(marked.groupBy("PF_OUTPUT").count()) == [(1, 2001), (2, 999)]
     assert dedupe.repeat_rows(df, ["k"], "o").count() == 999
     assert "Window" not in marked._jdf.queryExecution().toString()
+
+
+def test_records_without_id_weigh_in_the_sample_only(spark):
+    people = [*fx.PEOPLE, (None, "1", "1", "3", "458", "1100", "1")]
+    done = weight_household(fx.raw(spark, people), *fx.templates(spark))
+    out = done.microdata
+    assert out.count() == 7
+    assert rows(done.quality["unidentified"]) == [(1,)]
+    # The record joins the first cell (sample 130 in place of 105): factor 210 / 130 = 1.62.
+    factor = {r.ID: r.POPFAC for r in out.collect()}
+    assert factor["a"] == 1.62
+    totals = out.groupBy("CIT_NONCIT").agg(F.round(F.sum("PEMBERAT_FINAL"), 6)).collect()
+    assert {tuple(r) for r in totals} == {(1, 570.0), (2, 100.0)}
+
+
+def test_literal_strangers_need_citizens_in_their_band(spark):
+    # The only non-citizen of band 9 shares its band with no citizen: no sample cell, hence factor 0 on the diagonal.
+    people = [p if p[0] != "d" else ("d", "4", "2", "40", "100", "1100", "1") for p in fx.PEOPLE]
+    literal = weight_household(fx.raw(spark, people), *fx.templates(spark), semantics="literal").microdata
+    documented = weight_household(fx.raw(spark, people), *fx.templates(spark)).microdata
+    assert [r.POPFAC for r in literal.filter("ID = 'd'").collect()] == [0.0]
+    assert [r.POPFAC for r in documented.filter("ID = 'd'").collect()] == [2.0]
