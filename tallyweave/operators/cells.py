@@ -12,6 +12,7 @@ from tallyweave.functions.bands import label_code
 from tallyweave.functions.fields import strip_commas
 from tallyweave.functions.numbers import exact_sum
 from tallyweave.operators.classify import region_of
+from tallyweave.operators.dedupe import key_summary
 from tallyweave.operators.headers import pivot_groups
 
 STRATUM = ["NG", "RIN_STRATA"]
@@ -26,9 +27,13 @@ def responding_counts(
     Equals counting first markers when the stratum follows from the key. Rows
     of one key combine before the shuffle.
     """
-    per_key = df.groupBy(*dict.fromkeys([*by, *keys])).agg(F.count(F.lit(1)).alias("_n"))
-    return per_key.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("responding"), F.sum(F.col("_n") - 1).alias("repeats")
+    return count_keys(key_summary(df, keys, None, by), by)
+
+
+def count_keys(summary: DataFrame, by: Sequence[str] = STRATUM) -> DataFrame:
+    """Responding keys and repeat records per stratum from one row per key."""
+    return summary.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("responding"), F.sum(F.col("_rows") - 1).alias("repeats")
     )
 
 

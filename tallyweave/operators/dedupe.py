@@ -20,6 +20,20 @@ def _order(order: str | Sequence[str]) -> Column:
     return F.col(order) if isinstance(order, str) else F.struct(*order)
 
 
+def key_summary(df: DataFrame, keys: Sequence[str], order: str | Sequence[str] | None, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the carried columns, the first position and the number of rows.
+
+    ``carry`` names columns that follow from the key. The key itself is left
+    out, so the table is narrow; counts per stratum and first marks both start
+    from it.
+    """
+    measured = [F.count(F.lit(1)).alias("_rows")]
+    if order is not None:
+        measured.append(F.min(_order(order)).alias("_first"))
+    grouped = df.groupBy(*dict.fromkeys([*carry, *keys])).agg(*measured)
+    return grouped.select(*carry, "_rows", *(["_first"] if order is not None else []))
+
+
 def _firsts(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], order_is_unique: bool):
     grouped = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min(_order(order)).alias("_first"))
     if order_is_unique:
@@ -27,8 +41,8 @@ def _firsts(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], orde
     return grouped, [(k, f"_k{i}") for i, k in enumerate(keys)]
 
 
-def _join_firsts(df, keys, order, order_is_unique, how, among=None):
-    firsts, pairs = _firsts(df if among is None else among, keys, order, order_is_unique)
+def _join_firsts(df, keys, order, order_is_unique, how):
+    firsts, pairs = _firsts(df, keys, order, order_is_unique)
     placed = df.withColumn("_place", _order(order))
     match = F.col("_place") == F.col("_first")
     if pairs:
@@ -36,6 +50,19 @@ def _join_firsts(df, keys, order, order_is_unique, how, among=None):
     return placed.join(firsts, match, how)
 
 
+def _marked(joined: DataFrame, columns: Sequence[str], name: str, first: int, repeat: int) -> DataFrame:
+    mark = F.when(F.col("_first").isNotNull(), first).otherwise(repeat).cast("int").alias(name)
+    return joined.select(*[f"`{c}`" for c in columns if c != name], mark)
+
+
+def mark_positions(
+    df: DataFrame, summary: DataFrame, order: str, *, name: str = "PF_OUTPUT", first: int = 1, repeat: int = 2
+) -> DataFrame:
+    """First marks from a :func:`key_summary` whose ``order`` tells all rows apart."""
+    joined = df.join(summary.select("_first"), F.col(order) == F.col("_first"), "left")
+    return _marked(joined, df.columns, name, first, repeat)
+
+
 def mark_first(
     df: DataFrame,
     keys: Sequence[str],
@@ -45,18 +72,14 @@ def mark_first(
     first: int = 1,
     repeat: int = 2,
     order_is_unique: bool = False,
-    among: DataFrame | None = None,
 ) -> DataFrame:
     """Mark the first row of each key and its repeats. Null keys count as equal.
 
-    ``among`` is the table in which a row is first, if ``df`` is a part of it.
-
     ``order`` must tell the rows of one key apart; set ``order_is_unique`` when
     it tells all rows apart (a source position), which narrows the join.
     """
-    joined = _join_firsts(df, keys, order, order_is_unique, "left", among)
-    mark = F.when(F.col("_first").isNotNull(), first).otherwise(repeat).cast("int").alias(name)
-    return joined.select(*[f"`{c}`" for c in df.columns if c != name], mark)
+    joined = _join_firsts(df, keys, order, order_is_unique, "left")
+    return _marked(joined, df.columns, name, first, repeat)
 
 
 def repeat_rows(

@@ -8,7 +8,6 @@ one narrow aggregation and one output pass over the microdata.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -66,7 +65,7 @@ def weight_household(
     keep_unmatched_controls: bool = True,
     share_blank_cells: bool = False,
     record_id: str | None = None,
-    order: str | Sequence[str] | None = ORDER,
+    order: str | None = ORDER,
     period: dict[str, int] | None = None,
 ) -> HouseholdWeights:
     """Weight household records.
@@ -83,7 +82,9 @@ def weight_household(
     # for it, and its projection stays within what the JVM compiles.
     people = with_cell_group(stage(prepare_household(raw), "people"), semantics)
 
-    counts = cells.responding_counts(people)
+    # One shuffle on the response key serves the counts and the first marks.
+    responses = stage(dedupe.key_summary(people, config.RESPONSE_FIELDS, order, cells.STRATUM), "responses")
+    counts = cells.count_keys(responses)
     frame = households.select(
         F.col("KOD_NEGERI").try_cast("long").alias("NG"),
         F.col("RIN_STRATA").try_cast("int").alias("RIN_STRATA"),
@@ -118,7 +119,7 @@ def weight_household(
     table = stage(lookup(weighed.drop("records", "identified"), ratios.drop("in_sample"), DOMAIN), "applied")
     out = people.filter(F.col(f"`{record_id}`").isNotNull()).withColumn("PF_INPUT", response_key())
     if order is not None:
-        out = dedupe.mark_first(out, config.RESPONSE_FIELDS, order, order_is_unique=True, among=people)
+        out = dedupe.mark_positions(out, responses, order)
     out = lookup(out, table, COMBINATION, null_matches=True)
     out = out.withColumn("PEMBERAT_FINAL", F.col("WEIGHT_POP") * F.col("PEMBERAT_1"))
     if keep_unmatched_controls:
