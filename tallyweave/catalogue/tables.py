@@ -198,6 +198,24 @@ def transfer_weight(t):
     return _transferred(t).select("c_custkey", "weight", F.col("MATCH").alias("match"))
 
 
+@query(
+    "J12 W2",
+    """
+    select o_orderkey, coalesce(i.c_acctbal, n.c_acctbal) as weight,
+           case when i.c_custkey is not null then 'id' when n.c_custkey is not null then 'name' else 'none' end as match
+    from orders left join customer i on i.c_custkey = o_orderkey
+    left join customer n on n.c_name = 'Customer#' || lpad(o_custkey::varchar, 9, '0')
+    """,
+)
+def transfer_to_orders(t):
+    """Each order takes the balance of the customer with its number, else of its own customer by name."""
+    name = F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"))
+    target = t.orders.select("o_orderkey", F.col("o_orderkey").alias("id"), name.alias("nama"))
+    donors = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("nama"), F.col("c_acctbal").alias("weight"))
+    done = transfer.transfer_weight(target, donors, id_column="id", name_column="nama", weight="weight", order="id")
+    return done.select("o_orderkey", "weight", F.col("MATCH").alias("match"))
+
+
 @query("K10 P16", f"with {_TRANSFER_SQL} select c_custkey, nama from done where match = 'none'")
 def unmatched_weights(t):
     return transfer.unmatched_report(_transferred(t), ["c_custkey", "nama"])

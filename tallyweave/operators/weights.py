@@ -31,18 +31,19 @@ def design_weight(
     responding_states = counts.select(state).distinct()
     joined = lookup(frame.join(responding_states, state, "left_semi"), counts.select(*by, "responding"), by)
     responding = F.coalesce(F.col("responding"), F.lit(0)).cast("long")
+    total = F.coalesce(strip_commas(households), F.lit(0.0))
     return joined.withColumns(
         {
-            households: F.coalesce(F.col(households).try_cast("double"), F.lit(0.0)),
+            households: total,
             "responding": responding,
-            "ADJUSTED_WEIGHT": round_half_even(safe_ratio(F.coalesce(F.col(households).try_cast("double"), F.lit(0.0)), responding), 2),
+            "ADJUSTED_WEIGHT": round_half_even(safe_ratio(total, responding), 2),
         }
     )
 
 
 def weight_check(weights: DataFrame, supplied: str = "ADJUSTED_WEIGHT_BMP") -> DataFrame:
     """Difference between the weight and the supplied one, to two decimals."""
-    given = F.coalesce(F.col(supplied).try_cast("double"), F.lit(0.0))
+    given = F.coalesce(strip_commas(supplied), F.lit(0.0))
     return weights.withColumn("SEMAKAN_AW_BMP", round_half_even(F.col("ADJUSTED_WEIGHT") - given, 2))
 
 

@@ -36,6 +36,7 @@ def final_plan(df):
 
 LARGE = {"spark__sql__autoBroadcastJoinThreshold": "-1", "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1"}
 SKEW = {
+    "spark__sql__shuffle__partitions": "8",
     **LARGE,
     "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "20000",
     "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "1.5",
@@ -103,7 +104,7 @@ def test_marks_of_a_hot_key_spread_evenly(spark):
     """No task of the join sees the hot key whole: rows are hashed by key and position."""
     hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
     df = spark.range(0, 30000, 1, 8).select(hot.alias("k"), F.col("id").alias("o"))
-    with settings(spark, **LARGE, spark__sql__adaptive__coalescePartitions__enabled="false"):
+    with settings(spark, **LARGE, spark__sql__shuffle__partitions="8", spark__sql__adaptive__coalescePartitions__enabled="false"):
         marked = dedupe.mark_first(df, ["k"], "o")
         sizes = [r["count"] for r in marked.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 30000 and max(sizes) < 1.2 * min(sizes)
