@@ -98,7 +98,7 @@ def null_words(df: DataFrame, words: Sequence[str]) -> DataFrame:
     """Turn look-alikes of null (``''``, ``'nan'``, ...) in string columns into null."""
     return df.select(
         *[
-            F.when(~F.trim(F.col(f"`{f.name}`")).isin(list(words)), F.col(f"`{f.name}`")).alias(f.name)
+            F.when(~F.col(f"`{f.name}`").isin(list(words)), F.col(f"`{f.name}`")).alias(f.name)
             if isinstance(f.dataType, StringType)
             else F.col(f"`{f.name}`")
             for f in df.schema.fields

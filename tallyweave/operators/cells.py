@@ -13,7 +13,7 @@ from tallyweave.functions.fields import strip_commas
 from tallyweave.functions.numbers import exact_sum
 from tallyweave.operators.classify import region_of
 from tallyweave.operators.dedupe import key_summary
-from tallyweave.operators.headers import pivot_groups
+from tallyweave.operators.headers import order_by_number, pivot_groups
 
 STRATUM = ["NG", "RIN_STRATA"]
 CELL = ["NG", "CIT_NONCIT", "KU_5", "J", "GRP"]
@@ -87,6 +87,20 @@ def region_table(cells: DataFrame, region: str, value: str) -> DataFrame:
     return pivot_groups(mine, ["NG", "KU_5"], value, [1, 2], range(top + 1))
 
 
+def region_master(factors: DataFrame, region: str) -> DataFrame:
+    """Sample cells next to their population cells, one row per state and band of a region.
+
+    ``sex_group`` holds the sample, ``sex_group_region`` the population; group BW is non-citizens.
+    """
+    groups = [*[str(g) for g in range(1, 6 if region == "SEM" else 8)], "BW"]
+    names = [f"{j}_{g}" for j in (1, 2) for g in groups]
+    group = F.when(F.col("GRP") == 0, "BW").otherwise(F.col("GRP").cast("string"))
+    named = factors.filter(region_of(F.col("NG")) == region).withColumn("_name", F.concat_ws("_", F.col("J").cast("string"), group))
+    wide = named.groupBy("NG", "KU_5").pivot("_name", names).agg(F.first("SAMPLE").alias("s"), F.first("POPULATION").alias("p"))
+    renamed = {f"{n}_s": n for n in names} | {f"{n}_p": f"{n}_{region}" for n in names}
+    return order_by_number(wide.withColumnsRenamed(renamed), region)
+
+
 def factor_columns(factors: DataFrame, value: str = "POPFAC") -> DataFrame:
     """Factors as Male, Female and Non Citizen columns per state, band, group block; missing is 0."""
     block = F.when(F.col("GRP") == 0, F.col("J")).otherwise(F.col("GRP")).cast("int").alias("block")

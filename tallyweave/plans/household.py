@@ -8,7 +8,8 @@ one narrow aggregation and one output pass over the microdata.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,12 +28,31 @@ COMBINATION = ["NG", "RIN_STRATA", "ST", "CIT_NONCIT", "KU_5", "J", "GRP"]
 DOMAIN = ["NG", "CIT_NONCIT"]
 
 
+class QualityTables(Mapping):
+    """Quality tables by name, each planned when it is asked for."""
+
+    def __init__(self, makers: Mapping[str, Callable[[], DataFrame]]):
+        self._makers = dict(makers)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._makers[name]()
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+    def with_tables(self, **tables: DataFrame) -> QualityTables:
+        return QualityTables(self._makers | {name: lambda df=df: df for name, df in tables.items()})
+
+
 @dataclass
 class HouseholdWeights:
-    """Weighted microdata and the quality tables, by name."""
+    """Weighted microdata and the quality tables."""
 
     microdata: DataFrame
-    quality: dict[str, DataFrame] = field(default_factory=dict)
+    quality: QualityTables
 
 
 def prepare_household(raw: DataFrame) -> DataFrame:
@@ -130,19 +150,23 @@ def weight_household(
         out = stamp(out, **period)
 
     quality = {
-        "null_classes": audits.null_audit(people, classify.CLASSES),
-        "id_lengths": audits.length_audit(people, "NOID_38"),
-        "imputed": classify.imputation_audit(upper_headers(raw.drop(ORDER))),
-        "design_weights": design,
-        "weight_discrepancies": audits.discrepancies(design, "SEMAKAN_AW_BMP"),
-        "unidentified": weighed.agg(F.sum(F.col("records") - F.col("identified")).alias("records")),
-        "strata_without_weight": weighed.filter("ADJUSTED_WEIGHT is null")
+        "null_classes": lambda: audits.null_audit(people, classify.CLASSES),
+        "id_lengths": lambda: audits.length_audit(people, "NOID_38"),
+        "imputed": lambda: classify.imputation_audit(upper_headers(raw.drop(ORDER))),
+        "design_weights": lambda: design,
+        "weight_discrepancies": lambda: audits.discrepancies(design, "SEMAKAN_AW_BMP"),
+        "unidentified": lambda: weighed.agg(F.sum(F.col("records") - F.col("identified")).alias("records")),
+        "strata_without_weight": lambda: weighed.filter("ADJUSTED_WEIGHT is null")
         .groupBy("NG", "RIN_STRATA", "ST")
         .agg(F.sum("records").alias("records")),
-        "factors": factors,
-        "ratios": ratios,
+        "factors": lambda: factors,
+        "factor_columns": lambda: cells.factor_columns(factors),
+        "master_sem": lambda: cells.region_master(factors, "SEM"),
+        "master_sab": lambda: cells.region_master(factors, "SAB"),
+        "master_sar": lambda: cells.region_master(factors, "SAR"),
+        "ratios": lambda: ratios,
     }
-    return HouseholdWeights(out, quality)
+    return HouseholdWeights(out, QualityTables(quality))
 
 
 def _controls(controls: DataFrame) -> DataFrame:

@@ -58,5 +58,4 @@ def roll_up(
     count = stacked.sparkSession.createDataFrame(
         [(kind, len(frames), EXPECTED_TABLES[kind])], "kind string, tables int, expected int"
     )
-    done.quality.update(reports, tables=count)
-    return done
+    return HouseholdWeights(done.microdata, done.quality.with_tables(**reports, tables=count))

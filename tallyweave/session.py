@@ -52,6 +52,8 @@ def build_session(app_name: str = "tallyweave", **conf: str) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # The JVM does not compile methods above 8000 bytes; wide records reach that.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **conf,
     }
     for key, value in settings.items():

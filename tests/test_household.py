@@ -134,7 +134,11 @@ def test_wide_quality_tables(base):
     wide = cells.region_table(factors, "SEM", "POPFAC")
     assert wide.columns == ["NG", "KU_5", *[f"{j}_{g}" for j in (1, 2) for g in range(6)]]
     assert wide.count() == 18
-    stacked = cells.factor_columns(factors)
+    master = base.quality["master_sem"]
+    assert master.columns[:4] == ["1_1", "1_1_SEM", "1_2", "1_2_SEM"] and len(master.columns) == 2 * 2 * 6 + 2
+    assert rows(master.filter("KU_5 = 1"), "1_1", "1_1_SEM", "1_BW") == [(105.0, 210.0, None)]
+    assert base.quality["master_sar"].count() == 0
+    stacked = base.quality["factor_columns"]
     assert stacked.count() == 18 * 5
     assert rows(stacked.filter("KU_5 = 1 and block = 1"), "Male", "Female", "Non Citizen") == [(2.0, 0.0, 0.0)]
 
