@@ -28,8 +28,10 @@ def design_weight(
     States without any response are left out; a stratum without response in
     a responding state has none (null weight, listed by the quality report).
     """
-    responding_states = counts.select(state).distinct()
-    joined = lookup(frame.join(responding_states, state, "left_semi"), counts.select(*by, "responding"), by)
+    both = frame.withColumn("_framed", F.lit(True)).join(counts.select(*by, "responding"), list(by), "full_outer")
+    # A state has a handful of strata, so this window is over small groups of a small table.
+    in_state = F.max("responding").over(Window.partitionBy(state))
+    joined = both.withColumn("_in_state", in_state).filter("_framed and _in_state is not null").drop("_framed", "_in_state")
     responding = F.coalesce(F.col("responding"), F.lit(0)).cast("long")
     total = F.coalesce(strip_commas(households), F.lit(0.0))
     return joined.withColumns(

@@ -111,7 +111,7 @@ def weight_household(
         "BIL_ISI_RUMAH",
         "ADJUSTED_WEIGHT_BMP",
     )
-    design = stage(weights.weight_check(weights.design_weight(frame, stage(counts, "counts"))), "design")
+    design = stage(weights.weight_check(weights.design_weight(frame, counts)), "design")
     spread = weights.spread_weight(design, crosswalk)
 
     record_id = record_id or next(c for c in people.columns if c != ORDER)

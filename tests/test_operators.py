@@ -96,6 +96,10 @@ def test_design_weight_leaves_out_silent_states(spark):
     counts = spark.createDataFrame([(1, 1, 3, 0)], "NG long, RIN_STRATA int, responding long, repeats long")
     got = rows(weights.design_weight(frame, counts), "NG", "RIN_STRATA", "responding", "ADJUSTED_WEIGHT")
     assert got == [(1, 1, 3, 3.33), (1, 2, 0, None)]
+    # A state that responds only in a stratum outside the frame still responds.
+    elsewhere = spark.createDataFrame([(2, 2, 4, 0)], "NG long, RIN_STRATA int, responding long, repeats long")
+    got = rows(weights.design_weight(frame, elsewhere), "NG", "RIN_STRATA", "responding", "ADJUSTED_WEIGHT")
+    assert got == [(2, 1, 0, None)]
 
 
 def test_calibrate_options(spark):
