@@ -20,8 +20,16 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
+def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's token ids written to files and read back; see ``tokenfiles``."""
+    from tallyweave.llm import tokenfiles
+
+    return tokenfiles.round_trip(table(spark, folder, "documents"), f"{TOKENIZERS}/word_bpe_49k.json", end_id=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
+    "op9_token_files": op9_token_files,
 }
 
 SQL: dict[str, str] = {}
