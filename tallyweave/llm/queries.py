@@ -13,6 +13,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected grade of every document and its probability of being readable; see ``quality``."""
+    from tallyweave.llm import quality
+
+    documents = table(spark, folder, "documents")
+    model = quality.fit(documents, quality.graded(table(spark, folder, "labels")))
+    return quality.score(documents, model, grade=1)
+
+
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Byte-level BPE of every document; see ``bpe``."""
     from tallyweave.llm import bpe
@@ -20,6 +29,21 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document; see ``toxicity``."""
+    from tallyweave.llm import toxicity
+
+    documents = table(spark, folder, "documents")
+    return toxicity.score(documents, toxicity.fit(documents, table(spark, folder, "labels")))
+
+
+def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate groups of all documents; see ``circulant``."""
+    from tallyweave.llm import circulant
+
+    return circulant.near_groups(table(spark, folder, "documents"))
+
+
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's token ids written to files and read back; see ``tokenfiles``."""
     from tallyweave.llm import tokenfiles
@@ -28,7 +52,10 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op4_bpe": op4_bpe,
+    "op5_toxicity": op5_toxicity,
+    "op8_near_dedup": op8_near_dedup,
     "op9_token_files": op9_token_files,
 }
 
