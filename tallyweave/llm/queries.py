@@ -6,6 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyweave.llm.sql import SQL
+
+__all__ = ["QUERIES", "SQL"]
+
 TOKENIZERS = "/opt/tokenizers"
 
 
@@ -37,6 +41,13 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(documents, toxicity.fit(documents, table(spark, folder, "labels")))
 
 
+def op6_weak_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of every document and the verdict of weighed rules; see ``weakrules``."""
+    from tallyweave.llm import weakrules
+
+    return weakrules.judge(table(spark, folder, "documents"))
+
+
 def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate groups of all documents; see ``circulant``."""
     from tallyweave.llm import circulant
@@ -55,8 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op4_bpe": op4_bpe,
     "op5_toxicity": op5_toxicity,
+    "op6_weak_rules": op6_weak_rules,
     "op8_near_dedup": op8_near_dedup,
     "op9_token_files": op9_token_files,
 }
-
-SQL: dict[str, str] = {}
