@@ -26,6 +26,13 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(documents, model, grade=1)
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items found in documents; see ``containment``."""
+    from tallyweave.llm import containment
+
+    return containment.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("doc")
+
+
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Byte-level BPE of every document; see ``bpe``."""
     from tallyweave.llm import bpe
@@ -64,6 +71,7 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_decontamination": op2_decontamination,
     "op4_bpe": op4_bpe,
     "op5_toxicity": op5_toxicity,
     "op6_weak_rules": op6_weak_rules,

@@ -78,4 +78,16 @@ def _rules_sql() -> str:
     )
 
 
-SQL: dict[str, str] = {"op6_weak_rules": _rules_sql()}
+_LEAKS = r"""with words as (
+    select 'd' as kind, doc_id as id, text, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from documents
+    union all select 'b', item_id, text, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') from benchmark),
+items as (select distinct id, text, least(len(w), 5) as length, w from words where kind = 'b' and len(w) > 0),
+windows as (select distinct words.kind, words.id, words.text, l.length, array_to_string(words.w[pos:pos + l.length - 1], ' ') as shingle
+    from words, (select distinct length from items) l, unnest(range(1, len(words.w) - l.length + 2)) as u(pos)),
+parts as (select b.id, b.text, b.length, b.shingle, count(*) over (partition by b.id, b.text) as n_shingles
+    from windows b join items using (id, text, length) where b.kind = 'b')
+select d.id as doc_id, p.id as item_id, count(*) as n_shared, p.n_shingles, round(count(*) / p.n_shingles, 6) as containment
+from windows d join parts p using (length, shingle) where d.kind = 'd'
+group by d.id, d.text, p.id, p.text, p.n_shingles having count(*) * 100 >= p.n_shingles * 80"""
+
+SQL: dict[str, str] = {"op2_decontamination": _LEAKS, "op6_weak_rules": _rules_sql()}
