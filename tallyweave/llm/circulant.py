@@ -222,8 +222,10 @@ def near_links(documents: DataFrame, sketch: DataFrame, size: int, percent: int)
     members = members.withColumn("block", block).groupBy("node").agg(F.collect_list(F.struct("band", "key", "block", pairs.alias("pairs"))).alias("buckets"))
     members = stage(members, "members")
     # Any row of a node will do: where ids repeat, each of its sets is compared.
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(members.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-    sets = _set_rows(rows, size).join(members, F.col("doc_id") == F.col("node"))
+    # Members grow with the documents, so both sides are shuffled at every size (large inputs get a Bloom filter from Spark).
+    wanted = members.select(F.col("node").alias("doc_id")).hint("merge")
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
+    sets = _set_rows(rows, size).join(members.hint("merge"), F.col("doc_id") == F.col("node"))
     dealt = sets.select("node", "hashes", F.explode("buckets").alias("m")).select("node", "hashes", "m.*")
     dealt = dealt.select("node", "hashes", "block", F.xxhash64("band", "key").alias("bucket"), F.explode("pairs").alias("pair"))
     dealt = dealt.select(
