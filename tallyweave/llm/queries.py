@@ -34,6 +34,13 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return containment.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("doc")
 
 
+def op3_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page; see ``wrappers``."""
+    from tallyweave.llm import wrappers
+
+    return wrappers.main_text(table(spark, folder, "pages"))
+
+
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Byte-level BPE of every document; see ``bpe``."""
     from tallyweave.llm import bpe
@@ -83,6 +90,7 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
+    "op3_main_text": op3_main_text,
     "op4_bpe": op4_bpe,
     "op5_toxicity": op5_toxicity,
     "op6_weak_rules": op6_weak_rules,
