@@ -87,6 +87,14 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfiles.round_trip(table(spark, folder, "documents"), f"{TOKENIZERS}/word_bpe_49k.json", end_id=2)
 
 
+def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence families named in every document; see ``licences``."""
+    from tallyweave.llm import licences
+
+    documents = table(spark, folder, "documents")
+    return licences.scan(documents, licences.train(documents))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
@@ -97,4 +105,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_chat": op7_chat,
     "op8_near_dedup": op8_near_dedup,
     "op9_token_files": op9_token_files,
+    "op10_licences": op10_licences,
 }
