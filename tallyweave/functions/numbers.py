@@ -51,11 +51,12 @@ def safe_ratio(top: Column | str, bottom: Column | str) -> Column:
 def exact_sum(c: Column | str, digits: int) -> Column:
     """Sum of values with ``digits`` decimals, independent of row order.
 
-    Adds whole multiples of ``10**-digits`` as integers, so that partial sums
-    give the same result however rows are spread over tasks.
+    Adds decimals, so that partial sums give the same result however rows are
+    spread over tasks, and room for 28 digits is left in a group. Values are
+    rounded to ``digits`` decimals, ties to even.
     """
-    scale = 10**digits
-    return F.sum(F.rint(_col(c).cast("double") * float(scale)).cast("long")).cast("double") / float(scale)
+    scaled = F.rint(_col(c).cast("double") * float(10**digits)).cast("decimal(28,0)")
+    return F.sum(scaled).cast("double") / float(10**digits)
 
 
 def factor_or_one(c: Column | str) -> Column:

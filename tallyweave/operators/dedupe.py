@@ -85,8 +85,20 @@ def mark_first(
 def repeat_rows(
     df: DataFrame, keys: Sequence[str], order: str | Sequence[str], *, order_is_unique: bool = False
 ) -> DataFrame:
-    """Second and later rows of each key."""
-    return _join_firsts(df, keys, order, order_is_unique, "left_anti").drop("_place")
+    """Second and later rows of each key.
+
+    Rows equal in key and order are told apart by their other columns; of rows
+    equal in all columns, one can be the first and the rest are repeats.
+    """
+    if order_is_unique:
+        return _join_firsts(df, keys, order, True, "left_anti").drop("_place")
+    names = [f"`{c}`" for c in df.columns]
+    place = F.struct(_order(order).alias("order"), F.struct(*names).alias("row"))
+    counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_copies")).withColumn("_whole", place)
+    joined = _join_firsts(counted, keys, "_whole", False, "left")
+    left = F.col("_copies") - F.when(F.col("_first").isNotNull(), 1).otherwise(0)
+    spread = joined.withColumn("_left", left).filter("_left > 0")
+    return spread.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_left")))).select(*names)
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], values: Sequence[str]) -> DataFrame:

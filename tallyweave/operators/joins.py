@@ -30,3 +30,18 @@ def lookup(df: DataFrame, table: DataFrame, on: Sequence[str], null_matches: boo
     renamed = table.withColumnsRenamed({c: f"_r_{c}" for c in on})
     joined = df.join(renamed, null_safe([(c, f"_r_{c}") for c in on]), "left")
     return joined.drop(*[f"_r_{c}" for c in on])
+
+
+def repeated_keys(table: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Complete keys that stand in more than one row, and how often."""
+    keyed = table.select(*[F.col(f"`{c}`") for c in on]).dropna("any")
+    return keyed.groupBy(*[F.col(f"`{c}`") for c in on]).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+
+
+def unique_keys(table: DataFrame, on: Sequence[str], label: str) -> DataFrame:
+    """``table`` itself, if no key repeats; a repeated key would multiply the rows it is joined to."""
+    repeated = repeated_keys(table, on).orderBy(*[F.col(f"`{c}`") for c in on]).first()
+    if repeated:
+        key = ", ".join(f"{c}={repeated[c]}" for c in on)
+        raise ValueError(f"{label} has {repeated['rows']} rows with {key}")
+    return table

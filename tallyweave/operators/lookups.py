@@ -39,12 +39,14 @@ def lookup_sample(
 ) -> DataFrame:
     """Names from the sample frame by key; a name already present is kept if the frame has none.
 
-    The frame is cut to one row per key and staged, so that it joins by
-    broadcast if small and as a plain shuffle otherwise.
+    All names of a key come from one frame row: the one with the fewest missing
+    names, the first in alphabetical order among those. The frame is cut to that
+    row and staged, so that it joins by broadcast if small and as a plain shuffle
+    otherwise.
     """
-    found = sample.groupBy(key).agg(*[F.min(c).alias(f"_{c}") for c in columns])
+    missing = sum((F.col(c).isNull().cast("int") for c in columns), F.lit(0))
+    best = F.min(F.struct(missing.alias("missing"), *columns))
+    found = sample.groupBy(key).agg(best.alias("_row")).select(key, *[F.col(f"_row.{c}").alias(f"_{c}") for c in columns])
     joined = lookup(df, stage(found, "sample_frame"), [key])
-    filled = {
-        c: F.coalesce(F.col(f"_{c}"), F.col(c)) if c in df.columns else F.col(f"_{c}") for c in columns
-    }
+    filled = {c: F.coalesce(F.col(f"_{c}"), F.col(c)) if c in df.columns else F.col(f"_{c}") for c in columns}
     return joined.withColumns(filled).drop(*[f"_{c}" for c in columns])

@@ -32,7 +32,8 @@ def transfer_weight(
 
     Donors are cut to one row per key and staged. Small donor tables then join
     by broadcast; large ones meet the target as two plain shuffles, the shape in
-    which adaptive execution splits a hot key of the target over many tasks.
+    which adaptive execution splits a hot key of the target over many tasks. The
+    result of the ID join is staged: hits are done, and misses alone go by name.
     """
     by_id = first_donors(donors, id_column, weight, order).select(
         F.col(id_column).alias("_id"), F.col(weight).alias("_id_weight"), F.lit(True).alias("_id_hit")
@@ -41,9 +42,14 @@ def transfer_weight(
         F.col(name_column).alias("_name"), F.col(weight).alias("_name_weight"), F.lit(True).alias("_name_hit")
     )
     by_id, by_name = stage(by_id, "donors_by_id"), stage(by_name, "donors_by_name")
-    joined = target.join(by_id, F.col(id_column) == F.col("_id"), "left").join(
-        by_name, F.col(name_column) == F.col("_name"), "left"
-    )
+    # Rows without an ID cannot match one, and only rows that missed by ID look for a name.
+    keyed, blank = target.filter(F.col(id_column).isNotNull()), target.filter(F.col(id_column).isNull())
+    found = keyed.join(by_id, F.col(id_column) == F.col("_id"), "left")
+    found = stage(found.unionByName(blank, allowMissingColumns=True), "matched_by_id")
+    hits, misses = found.filter("_id_hit"), found.filter("_id_hit is null")
+    named, nameless = misses.filter(F.col(name_column).isNotNull()), misses.filter(F.col(name_column).isNull())
+    joined = named.join(by_name, F.col(name_column) == F.col("_name"), "left")
+    joined = joined.unionByName(hits, allowMissingColumns=True).unionByName(nameless, allowMissingColumns=True)
     weight_type = donors.schema[weight].dataType
     existing = F.col(weight).cast(weight_type) if weight in target.columns else F.lit(None).cast(weight_type)
     taken = (

@@ -11,7 +11,7 @@ from tallyweave import config
 from tallyweave.functions.fields import strip_commas
 from tallyweave.functions.numbers import exact_sum, factor_or_one, round_half_even, safe_ratio
 from tallyweave.operators.cells import CELL
-from tallyweave.operators.joins import lookup
+from tallyweave.operators.joins import lookup, unique_keys
 from tallyweave.session import stage
 
 
@@ -26,8 +26,10 @@ def design_weight(
     """Households in the frame over responding households, per stratum, to two decimals.
 
     States without any response are left out; a stratum without response in
-    a responding state has none (null weight, listed by the quality report).
+    a responding state has none (null weight, listed by the quality report). A
+    stratum that the frame lists twice is an error.
     """
+    unique_keys(frame, by, "the households template")
     both = frame.withColumn("_framed", F.lit(True)).join(counts.select(*by, "responding"), list(by), "full_outer")
     # A state has a handful of strata, so this window is over small groups of a small table.
     in_state = F.max("responding").over(Window.partitionBy(state))
@@ -50,8 +52,9 @@ def weight_check(weights: DataFrame, supplied: str = "ADJUSTED_WEIGHT_BMP") -> D
 
 
 def spread_weight(weights: DataFrame, crosswalk: DataFrame) -> DataFrame:
-    """One weight row per state, stratum and stratum digit."""
+    """One weight row per state, stratum and stratum digit; a repeated crosswalk row is an error."""
     digits = crosswalk.select(*[F.col(c).try_cast("long").alias(c) for c in ("NG", "RIN_STRATA", "ST")])
+    unique_keys(digits, ["NG", "RIN_STRATA", "ST"], "the crosswalk")
     return lookup(weights, digits, ["NG", "RIN_STRATA"]).select("NG", "RIN_STRATA", "ST", "ADJUSTED_WEIGHT")
 
 
@@ -104,7 +107,9 @@ def control_ratios(
     """Control over estimate per domain; domains of either side are kept.
 
     ``in_sample`` tells domains with microdata from those of the control alone.
+    A domain that the controls list twice is an error.
     """
+    unique_keys(controls, by, "the controls")
     given = controls.select(*by, strip_commas(f"`{control}`").alias(control))
     found = estimates.select(*by, estimate, F.lit(True).alias("in_sample"))
     both = found.join(given, list(by), "full_outer")
@@ -139,13 +144,14 @@ def calibrate(
     weight: str = "PEMBERAT_1",
     final: str = "PEMBERAT_FINAL",
     control: str = "ANGGARAN_PENDUDUK(BPPD)",
-    digits: int = 4,
+    digits: int = 9,
     keep_unmatched_controls: bool = True,
 ) -> DataFrame:
     """Scale ``weight`` so that its sum per domain equals the control total.
 
     Adds the estimate, the control, the ratio ``WEIGHT_POP`` and ``final``. The
     ratio table is staged, so the microdata are summed once and read once more.
+    Weights are summed exactly to ``digits`` decimals; later ones are rounded off.
     """
     estimates = df.dropna("any", subset=list(by)).groupBy(*by).agg(exact_sum(weight, digits).alias("ANGGARAN_SAMPEL_STB"))
     ratios = stage(control_ratios(estimates, controls, by, control=control), "ratios")

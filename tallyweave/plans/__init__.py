@@ -2,7 +2,7 @@ from tallyweave.plans.establishments import clean_establishments
 from tallyweave.plans.household import HouseholdWeights, prepare_household, weight_household
 from tallyweave.plans.individuals import prepare_individuals, transfer_individual_weights
 from tallyweave.plans.rollup import roll_up, stack_finals
-from tallyweave.plans.runs import control_period, run_establishments, run_individual, run_monthly, run_roll_up
+from tallyweave.plans.runs import control_period, run_establishments, run_individual, run_ingest, run_monthly, run_roll_up
 
 __all__ = [
     "HouseholdWeights",
@@ -13,6 +13,7 @@ __all__ = [
     "roll_up",
     "run_establishments",
     "run_individual",
+    "run_ingest",
     "run_monthly",
     "run_roll_up",
     "stack_finals",

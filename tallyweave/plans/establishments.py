@@ -14,6 +14,7 @@ from tallyweave.operators.audits import reconcile
 from tallyweave.operators.headers import header_mapping, pick_columns, remap_columns, verify_headers
 from tallyweave.operators.lookups import lookup_sample, lookup_section
 from tallyweave.operators.measures import establishment_totals, measure_start
+from tallyweave.session import stage
 
 SECTIONS = {"MSIC2008": "SECTION", "MSIC2008_SMPL": "SECTION_SMPL"}
 
@@ -56,6 +57,7 @@ def clean_establishments(
         frame = sample.withColumn("NEWSSID", pad_code(id_text("NEWSSID"), config.CODE_WIDTHS["NEWSSID"]))
         df = lookup_sample(df, frame)
     df, made_of = establishment_totals(df, measure_start(df.columns), semantics)
+    df = stage(df, "establishments")  # the quality tables and the caller read it again
     quality = {
         "headers": verify_headers(raw.sparkSession, raw.columns, pairs),
         "totals": reconcile(df, made_of),

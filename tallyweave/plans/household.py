@@ -22,6 +22,7 @@ from tallyweave.operators import audits, cells, classify, dedupe, weights
 from tallyweave.operators.headers import upper_headers
 from tallyweave.operators.joins import lookup
 from tallyweave.session import stage
+from tallyweave.sources.delimited import position_columns
 
 ORDER = "_ord"
 COMBINATION = ["NG", "RIN_STRATA", "ST", "CIT_NONCIT", "KU_5", "J", "GRP"]
@@ -87,6 +88,7 @@ def weight_household(
     record_id: str | None = None,
     order: str | None = ORDER,
     period: dict[str, int] | None = None,
+    keep_position: bool = False,
 ) -> HouseholdWeights:
     """Weight household records.
 
@@ -96,6 +98,8 @@ def weight_household(
     ``share_blank_cells`` moves the population of blank cells first. Records
     without ``record_id`` (by default the first column) count towards the sample
     but get no final weight; the quality tables list how many there are.
+    ``keep_position`` keeps a source position as plain columns, so that later jobs
+    still know which record came first. Templates with a repeated key are an error.
     """
     config.check_semantics(semantics)
     # Keys that follow from other columns are left out of the stage: it is smaller
@@ -145,6 +149,8 @@ def weight_household(
     if keep_unmatched_controls:
         out = out.unionByName(ratios.filter("not in_sample").drop("in_sample"), allowMissingColumns=True)
     out = out.withColumn("ID_POP", F.concat(F.col("NG").cast("string"), F.col("CIT_NONCIT").cast("string")))
+    if keep_position:
+        out = position_columns(out)
     out = out.drop("GRP", ORDER)
     if period:
         out = stamp(out, **period)

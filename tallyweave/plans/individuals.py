@@ -11,6 +11,7 @@ from tallyweave.operators import audits, dedupe
 from tallyweave.operators.classify import build_id
 from tallyweave.operators.headers import compact_headers
 from tallyweave.operators.transfer import transfer_weight, unmatched_report
+from tallyweave.session import stage
 
 ORDER = "_ord"
 
@@ -32,7 +33,8 @@ def transfer_individual_weights(
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Weighted individual records and quality tables. Both inputs carry ``_ord``."""
     people, givers = prepare_individuals(target), prepare_individuals(donors)
-    done = stamp(transfer_weight(people, givers), MONTHS=month, YEARS=year)
+    # The report tables and the caller read the result again: join once.
+    done = stage(stamp(transfer_weight(people, givers), MONTHS=month, YEARS=year), "transferred")
     quality = {
         "unmatched": unmatched_report(done),
         "target_repeated_ids": audits.uniqueness_audit(people, "ID_38", repeats_above),

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyweave import config
 from tallyweave.operators.headers import plain_headers
 from tallyweave.operators.stacking import column_drift, shape_report, stack
 from tallyweave.plans.household import ORDER, HouseholdWeights, weight_household
@@ -14,6 +17,23 @@ from tallyweave.plans.household import ORDER, HouseholdWeights, weight_household
 # Number of tables each roll-up stacks.
 EXPECTED_TABLES = {"quarterly": 3, "halfyear": 2, "annual": 12}
 
+# Columns that a weighting adds, under plain headers.
+DERIVED = frozenset(
+    "NOID38 KU5 G2 G3 G4 G5 CITNONCIT RINSTRATA PFINPUT PFOUTPUT ADJUSTEDWEIGHT POPFAC PEMBERAT1 ANGGARANSAMPELSTB "
+    "ANGGARANPENDUDUKBPPD WEIGHTPOP PEMBERATFINAL IDPOP BULAN TAHUN KUARTER SRCFILE SRCBLOCK SRCROW".split()
+)
+
+
+def raw_records(stacked: DataFrame) -> DataFrame:
+    """Stacked finals as raw records: without what an earlier weighting derived.
+
+    Rows that hold a control domain alone have no person fields and are left
+    out: they would count as a responding household of their state.
+    """
+    kept = stacked.drop(*[c for c in stacked.columns if c in DERIVED])
+    fields = [c for c in (*config.ID_WIDTHS, "U", "KW") if c != "NG" and c in kept.columns]
+    return kept.filter(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in fields])) if fields else kept
+
 
 def stack_finals(frames: Mapping[str, DataFrame], order: str | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Stack final tables under plain headers, all text, with drift and shape reports.
@@ -49,11 +69,12 @@ def roll_up(
 ) -> HouseholdWeights:
     """Stack the finals of one period and weight them; any number of tables goes.
 
-    The quality table ``tables`` compares their number with the expected one.
+    Finals may be raw-like or outputs of a weighting, whose results are left out
+    and worked out anew. The quality table ``tables`` compares their number with the expected one.
     """
     stacked, reports = stack_finals(frames, order)
     done = weight_household(
-        stacked, households, population, controls, crosswalk, order=ORDER if order else None, **options
+        raw_records(stacked), households, population, controls, crosswalk, order=ORDER if order else None, **options
     )
     count = stacked.sparkSession.createDataFrame(
         [(kind, len(frames), EXPECTED_TABLES[kind])], "kind string, tables int, expected int"

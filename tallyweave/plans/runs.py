@@ -8,6 +8,7 @@ record, and publishes under the period's table name. Quality tables go to
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +21,8 @@ from tallyweave.plans.household import HouseholdWeights, weight_household
 from tallyweave.plans.individuals import transfer_individual_weights
 from tallyweave.plans.rollup import roll_up
 from tallyweave.sources.control import clean_control, latest_control
-from tallyweave.sources.delimited import infer_integers, read_delimited, read_with_offset, with_source_order
-from tallyweave.sources.files import latest_file
+from tallyweave.sources.delimited import ORDER, infer_integers, kept_order, position_columns, read_delimited, read_with_offset
+from tallyweave.sources.files import ingest_finals, latest_file
 from tallyweave.sources.sinks import publish, table_name, write_quality_table
 from tallyweave.sources.tables import find_period_tables
 
@@ -71,11 +72,17 @@ def run_monthly(
     month, year, quarter = (int(sole_value(templates[0], c)) for c in ("BULAN", "TAHUN", "QUARTER"))
     raw = read_delimited(spark, raw_path, encoding=None, keep_order=True)
     period = {"BULAN": month, "TAHUN": year, "KUARTER": quarter}
-    done = weight_household(raw, *templates, period=period, **options)
+    done = weight_household(raw, *templates, period=period, keep_position=True, **options)
     _write_quality(done.quality, quality_path)
     return publish(done.microdata, table_name("household_monthly", month=month, year=year), database)
 
 
+def run_ingest(spark: SparkSession, folder: str, kind: str = "monthly", *, database: str | None = None, encoding: str | None = None) -> list[str]:
+    """Publish the final data of ``folder``, one table for each period, with period columns and source positions."""
+    finals = ingest_finals(spark, folder, kind, encoding=encoding, keep_order=True)
+    return [publish(position_columns(df), name, database) for name, df in finals.items()]
+
+
 def run_roll_up(
     spark: SparkSession,
     kind: str,
@@ -98,12 +105,12 @@ def run_roll_up(
     names = find_period_tables(spark, finals, **wanted)
     if not names:
         raise ValueError(f"no table of {finals} holds {wanted}")
-    frames = {n: with_source_order(spark.table(f"`{finals}`.`{n}`"), "srcrow") for n in names}
+    frames = {n: kept_order(spark.table(f"`{finals}`.`{n}`"), "position") for n in names}
     templates = _templates(spark, households, population, controls, crosswalk)
     if kind == "halfyear" and "QUARTER" in templates[0].columns:
         half = half_of_quarter(F.col("QUARTER").try_cast("int"))
         templates = (templates[0].withColumn("HALFYEAR", half), *templates[1:])
-    done: HouseholdWeights = roll_up(frames, *templates, kind=kind, order="srcrow", **options)
+    done: HouseholdWeights = roll_up(frames, *templates, kind=kind, order="position", **options)
     _write_quality(done.quality, quality_path)
     return publish(done.microdata, table_name(f"household_{kind}", **period), database)
 
@@ -121,7 +128,10 @@ def run_individual(
     names = find_period_tables(spark, finals, MONTHS=period["month"], YEARS=period["year"])
     if not names:
         raise ValueError(f"no table of {finals} holds {dict(period)}")
-    donors = with_source_order(spark.table(f"`{finals}`.`{names[0]}`"))
+    # All tables of the month, in the order of their names, then of their rows.
+    tables = [kept_order(spark.table(f"`{finals}`.`{n}`")) for n in sorted(names)]
+    tables = [t.withColumn(ORDER, F.struct(F.lit(i).alias("table"), F.col(ORDER).alias("row"))) for i, t in enumerate(tables)]
+    donors = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
     target = read_delimited(spark, raw_path, encoding=None, keep_order=True)
     done, quality = transfer_individual_weights(target, donors, month=period["month"], year=period["year"])
     _write_quality(quality, quality_path)
@@ -142,9 +152,9 @@ def run_establishments(
     semantics: str = config.DOCUMENTED,
 ) -> str:
     """Clean one quarter of establishment records; ``mapping`` and ``sample`` may be globs, the newest file counts."""
-    headers = read_with_offset(spark, latest_file(spark, mapping), mapping_header_line)
+    headers = read_with_offset(spark, latest_file(spark, mapping), mapping_header_line, encoding=None)
     frame = read_delimited(spark, latest_file(spark, sample), encoding=None) if sample else None
-    raw = read_with_offset(spark, raw_path, header_line)
+    raw = read_with_offset(spark, raw_path, header_line, encoding=None)
     done, quality = clean_establishments(raw, headers, read_delimited(spark, industries, encoding=None), frame, semantics=semantics)
     _write_quality(quality, quality_path)
     quarter, year = (sole_value(done, c) for c in ("QUARTER", "YEAR"))

@@ -3,6 +3,8 @@ from tallyweave.sources.delimited import (
     drop_empty_rows,
     infer_integers,
     integer_columns,
+    kept_order,
+    position_columns,
     read_delimited,
     read_with_offset,
     with_source_order,
@@ -18,11 +20,13 @@ __all__ = [
     "infer_integers",
     "ingest_finals",
     "integer_columns",
+    "kept_order",
     "latest_control",
     "latest_file",
     "list_files",
     "load_table",
     "period_of_name",
+    "position_columns",
     "publish",
     "read_delimited",
     "read_period",

@@ -44,23 +44,28 @@ def period_of_name(name: Column | str, kind: str = "monthly") -> dict[str, Colum
 
 
 def ingest_finals(
-    spark: SparkSession, folder: str, kind: str = "monthly", *, encoding: str | None = "UTF-8"
+    spark: SparkSession, folder: str, kind: str = "monthly", *, encoding: str | None = "UTF-8", keep_order: bool = False
 ) -> dict[str, DataFrame]:
-    """Read each final-data file of ``folder`` and add its period columns.
+    """Read the final data of ``folder`` and add the period columns of each name.
 
-    Returns one all-text table per file, keyed by the period name that starts
-    the file name. Files may have different columns, so each is one read.
+    A final is a ``.csv`` file, or a ``.csv`` folder of part files as Spark
+    writes them. Returns one all-text table per period, keyed by the period name
+    that starts the file name; files of one period are stacked by column name.
     """
     pattern = re.compile({"monthly": MONTHLY_NAME, "quarterly": QUARTERLY_NAME}[kind])
-    tables: dict[str, DataFrame] = {}
-    for row in list_files(spark, f"{folder.rstrip('/')}/*.csv").select("path").orderBy("path").toLocalIterator():
-        file_name = row.path.rsplit("/", 1)[-1]
-        found = pattern.search(file_name)
-        if not found:
-            raise ValueError(f"no period in file name {file_name}")
-        part, limit = int(found.group(1)), 12 if kind == "monthly" else 4
-        if not 1 <= part <= limit:
-            raise ValueError(f"period {part} in {file_name} lies outside 1-{limit}")
-        df = read_delimited(spark, row.path, encoding=encoding)
-        tables[file_name[: found.end()]] = df.withColumns(period_of_name(F.lit(file_name), kind))
-    return tables
+    limit = 12 if kind == "monthly" else 4
+    paths: dict[str, list[str]] = {}
+    periods: dict[str, str] = {}
+    for row in list_files(spark, f"{folder.rstrip('/')}/*.csv").select("path").orderBy("path").collect():
+        name = next((p for p in reversed(row.path.split("/")) if p.endswith(".csv") and pattern.search(p)), None)
+        if name is None:
+            raise ValueError(f"no period in file name {row.path.rsplit('/', 1)[-1]}")
+        found = pattern.search(name)
+        if not 1 <= int(found.group(1)) <= limit:
+            raise ValueError(f"period {int(found.group(1))} in {name} lies outside 1-{limit}")
+        paths.setdefault(name[: found.end()], []).append(row.path)
+        periods[name[: found.end()]] = name
+    return {
+        key: read_delimited(spark, files, encoding=encoding, keep_order=keep_order).withColumns(period_of_name(F.lit(periods[key]), kind))
+        for key, files in paths.items()
+    }

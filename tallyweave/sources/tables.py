@@ -27,7 +27,8 @@ def find_period_tables(spark: SparkSession, database: str, **period: int) -> lis
     Prefer one partitioned table and :func:`read_period` for new data.
     """
     found = []
-    for table in sorted(spark.catalog.listTables(database), key=lambda t: t.name):
+    tables = [t for t in spark.catalog.listTables(database) if not t.isTemporary]
+    for table in sorted(tables, key=lambda t: t.name):
         df = spark.table(f"`{database}`.`{table.name}`")
         if set(period) <= set(df.columns) and not read_period(df, **period).limit(1).isEmpty():
             found.append(table.name)

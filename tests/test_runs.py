@@ -117,3 +117,36 @@ def test_establishment_run(spark, tmp_path, database):
     assert name.endswith("`FRDQ1Y2023`")
     got = rows(spark.table(name), "NEWSSID", "REGISTERED_NAME", "SECTION", "SECTION_SMPL", "MSIC2008", "STRATA_EMPL", "Q23104F01010")
     assert got == [("000000000077", "Reg", "A", "C", "00101", 1, 9), ("000000000088", "own", None, "A", "", 4, 1)]
+
+
+def test_monthly_outputs_roll_up_after_ingest(spark, tmp_path, templates, database):
+    """The chain of jobs: weighted months written as finals, taken in, and weighted again as a quarter."""
+    from tallyweave.plans import run_ingest
+    from tallyweave.sources import write_csv
+
+    rows_ = people()
+    controls = [r | {"NG": "1"} for r in csv.DictReader(open(templates["controls"]))] + [{"NG": "2", "NEGERI": "Kedah", "ANGGARAN_PENDUDUK(BPPD)": "9", "CIT_NONCIT": "1"}]
+    extra = templates | {"controls": dump(tmp_path / "t03_more.csv", controls)}
+    for month, part in ((1, rows_[:3]), (2, rows_[3:])):
+        raw = dump(tmp_path / f"raw{month}" / "a.csv", part)
+        name = run_monthly(spark, raw, **extra, database=database)
+        write_csv(spark.table(name), f"{tmp_path}/finals/JR4M0{month}Y2021.csv")
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE DATABASE finals_c LOCATION '{tmp_path}/finals_c'")
+    try:
+        assert run_ingest(spark, f"{tmp_path}/finals", database="finals_c") == ["`finals_c`.`JR4M01Y2021`", "`finals_c`.`JR4M02Y2021`"]
+        assert {"SRCFILE", "SRCBLOCK", "SRCROW"} <= set(spark.table("finals_c.JR4M01Y2021").columns)
+        name = run_roll_up(spark, "quarterly", finals="finals_c", period={"year": 2021, "quarter": 1}, record_id="ID", **templates, database=database)
+        got = {r.ID: (r.PEMBERAT_1, r.WEIGHT_POP, r.PEMBERAT_FINAL) for r in spark.table(name).collect()}
+        assert got == fx.EXPECTED
+    finally:
+        spark.sql("DROP DATABASE finals_c CASCADE")
+
+
+def test_repeated_template_keys_fail(spark):
+    from tallyweave.plans import weight_household
+
+    household, population, control, crosswalk = fx.templates(spark)
+    for broken in ((household.union(household), population, control, crosswalk), (household, population, control.union(control), crosswalk), (household, population, control, crosswalk.union(crosswalk))):
+        with pytest.raises(ValueError, match="rows with NG=1"):
+            weight_household(fx.raw(spark), *broken)

@@ -46,7 +46,7 @@ def test_integer_inference(spark):
     df = spark.createDataFrame(
         [("1", "1.5", "-3", "7", None, "1234567890123456789"), ("02", "2", "4", "", "5", "1")], "a string, b string, c string, d string, e string, f string"
     )
-    assert dict(sources.infer_integers(df).dtypes) == {"a": "bigint", "b": "string", "c": "string", "d": "string", "e": "string", "f": "string"}
+    assert dict(sources.infer_integers(df).dtypes) == {"a": "bigint", "b": "string", "c": "string", "d": "string", "e": "string", "f": "bigint"}
     assert tuple(sources.integer_columns(df).first()) == (True, False, False, False, False, True)
 
 
