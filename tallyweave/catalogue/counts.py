@@ -24,12 +24,14 @@ def first_marker(t):
     select l_orderkey, l_linenumber::bigint as l_linenumber, l_partkey, l_suppkey, l_extendedprice from (
       select *, row_number() over (partition by l_orderkey, l_linenumber
                                    order by l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) as rn
-      from lineitem) where rn > 1
+      from (select * from lineitem union all select * from lineitem where l_linenumber = 1)) where rn > 1
     """,
 )
 def duplicate_rows(t):
+    """Repeats of line items, the first lines standing in the table twice."""
     order = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
     items = t.lineitem.select("l_orderkey", "l_linenumber", *order)
+    items = items.union(items.filter("l_linenumber = 1"))
     again = dedupe.repeat_rows(items, ["l_orderkey", "l_linenumber"], order)
     return again.select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), "l_partkey", "l_suppkey", "l_extendedprice")
 

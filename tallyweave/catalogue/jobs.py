@@ -4,8 +4,10 @@ from pyspark.sql import functions as F
 
 from tallyweave import config
 from tallyweave.catalogue.registry import query
-from tallyweave.operators.cells import population_cells
+from tallyweave.operators.cells import factor_columns, population_cells, region_master
+from tallyweave.operators.headers import sanitize_columns
 from tallyweave.plans import clean_establishments, roll_up, transfer_individual_weights, weight_household
+from tallyweave.session import stage
 
 # Orders as persons, their customers as households. Valid in both SQL dialects.
 PEOPLE = """
@@ -29,8 +31,9 @@ HOUSEHOLDS = """
   from {customer} group by 1, 2
 """
 CROSSWALK = """
-  select distinct cast(c_nationkey % 16 + 1 as bigint) as NG, c_custkey % 10 as ST, case when c_custkey % 10 in (1, 2) then 1 else 2 end as RIN_STRATA
-  from {customer} where c_custkey % 10 <> 9
+  select distinct cast(c_nationkey % 16 + 1 as bigint) as NG, c_custkey % 10 as ST,
+         case when c_custkey % 10 in (1, 2) then 1 when c_custkey % 10 < 9 then 2 end as RIN_STRATA
+  from {customer}
 """
 CONTROLS = """
   select cast(s_nationkey % 16 + 1 as bigint) as NG, cast(s_suppkey % 2 + 1 as int) as CIT_NONCIT, count(*) * 1234 as people
@@ -165,6 +168,62 @@ def rolled_up_weights(t):
     return _report(roll_up({"first": first, "second": second}, *templates, kind="halfyear", order="src"))
 
 
+@query("P15 P14", _household_sql("year(o_orderdate), quarter(o_orderdate), o_orderkey"))
+def rolled_up_finals(t):
+    """Both halves of the years weighted on their own, and the two outputs stacked and weighted again."""
+    people, *templates = _inputs(t)
+    dated = people.drop("_ord").withColumns({"YEARS": F.year("o_orderdate"), "QUARTER": F.quarter("o_orderdate"), "src": F.col("o_orderkey")})
+    dated = dated.drop("o_orderkey", "o_orderstatus", "o_orderdate")
+    finals = {}
+    for name, part in (("first", "QUARTER <= 2"), ("second", "QUARTER > 2")):
+        done = weight_household(dated.filter(part), *templates, order=None, record_id="PERSON")
+        finals[name] = stage(sanitize_columns(done.microdata), name)
+    return _report(roll_up(finals, *templates, kind="halfyear", order="SRC", record_id="PERSON"))
+
+
+_CELLS_SQL = f"""bands as ({_plain(BANDS)}), columns(i, grp, region) as (values {_COLUMN_ROWS}),
+    cells as (select bands.NG as ng, ku_5::bigint as ku_5, 1 + female as j, grp, region, (n * (i + 3))::double as people
+              from bands join columns on region = {_REGION.replace("ng", "bands.ng", 3)})"""
+_MASTER_GROUPS = {"1": 1, "2": 2, "3": 3, "4": 4, "5": 5, "BW": 0}
+
+
+@query(
+    "J5",
+    f"with {_CELLS_SQL} select ng, ku_5, "
+    + ", ".join(
+        f"""max(case when j = {j} and grp = {g} then people / 2 end) as "{j}_{n}", max(case when j = {j} and grp = {g} then people end) as "{j}_{n}_SEM" """
+        for j in (1, 2)
+        for n, g in _MASTER_GROUPS.items()
+    )
+    + " from cells where region = 'SEM' group by all",
+)
+def peninsular_master(t):
+    """Sample and population cells side by side; half the population stands in for the sample."""
+    cell = population_cells(_population(t)).withColumn("SAMPLE", F.col("POPULATION") / 2)
+    master = region_master(cell, "SEM")
+    return master.withColumns({"ku_5": F.col("KU_5").cast("long")}).withColumnRenamed("NG", "ng")
+
+
+@query(
+    "R3",
+    f"""with {_CELLS_SQL} select ng, ku_5, (case when grp = 0 then j else grp end)::bigint as block,
+        coalesce(max(case when grp > 0 and j = 1 then people end), 0) as male, coalesce(max(case when grp > 0 and j = 2 then people end), 0) as female,
+        max(case when grp = 0 then people end) as strangers
+    from cells group by all""",
+)
+def factor_blocks(t):
+    cell = population_cells(_population(t)).withColumn("POPFAC", F.col("POPULATION"))
+    wide = factor_columns(cell)
+    return wide.select(
+        F.col("NG").alias("ng"),
+        F.col("KU_5").cast("long").alias("ku_5"),
+        F.col("block").cast("long").alias("block"),
+        F.col("Male").alias("male"),
+        F.col("Female").alias("female"),
+        F.col("Non Citizen").alias("strangers"),
+    )
+
+
 @query(
     "P8 B12 D10 R1",
     f"""

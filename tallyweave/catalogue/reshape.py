@@ -154,7 +154,8 @@ def retain_periods(t):
     return versions.retain_periods(versioned, newest=12)
 
 
-_PERIODS = [f"{y}Q{q}" for y in range(1995, 2002) for q in range(1, 5)]
+# The quarters of the test tables' orders, for the comparison SQL alone.
+_PERIODS = [f"{y}Q{q}" for y in range(1995, 2002) for q in range(1, 5)][:27]
 _SERIES_SQL = """
     select o_orderpriority, cast(year(o_orderdate) as string) || 'Q' || cast(quarter(o_orderdate) as string) as period,
            cast(floor(o_totalprice) as bigint) as value from {orders}
@@ -172,12 +173,12 @@ def timeseries_stack(t):
     """Finals of the years before 1999 and raw quarters after, stacked, one column per quarter."""
     series = t.sql(_SERIES_SQL, "orders")
     early, late = series.filter("period < '1999'"), series.filter("period >= '1999'")
-    return versions.to_time_series(stack([early, late]), ["o_orderpriority"], "period", _PERIODS, "value")
+    return versions.to_time_series(stack([early, late]), ["o_orderpriority"], "period", None, "value")
 
 
 @query("K6", f"with s as ({_SERIES}) select o_orderpriority, period, sum(value)::bigint as value from s group by all")
 def timeseries_explode(t):
-    wide = versions.to_time_series(t.sql(_SERIES_SQL, "orders"), ["o_orderpriority"], "period", _PERIODS, "value")
+    wide = versions.to_time_series(t.sql(_SERIES_SQL, "orders"), ["o_orderpriority"], "period", None, "value")
     return versions.from_time_series(wide, ["o_orderpriority"], "period", "value")
 
 

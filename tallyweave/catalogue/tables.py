@@ -5,17 +5,24 @@ import uuid
 from pyspark.sql import functions as F
 
 from tallyweave.catalogue.registry import query
+from tallyweave.functions.periods import quarter_range
 from tallyweave.operators import audits, headers, lookups, stacking, transfer
-from tallyweave.session import run_folder
+from tallyweave.operators.joins import repeated_keys
+from tallyweave.session import run_folder, stage
 from tallyweave.sources import (
     clean_control,
     drop_empty_rows,
+    find_period_tables,
     infer_integers,
+    ingest_finals,
     integer_columns,
     latest_control,
     latest_file,
+    load_table,
+    publish,
     read_delimited,
     read_period,
+    read_with_offset,
     replace_period,
     write_csv,
 )
@@ -134,7 +141,7 @@ def paired_columns(t):
 @query(
     "J11",
     """
-    with code as (select n_nationkey::bigint as code, n_name as section from nation where n_regionkey <> 2)
+    with code as (select n_nationkey::bigint as code, case when n_regionkey <> 2 then n_name end as section from nation)
     select c_custkey, a.section as section, b.section as section_smpl
     from customer left join code a on a.code = c_nationkey left join code b on b.code = c_custkey % 30
     """,
@@ -147,24 +154,27 @@ def lookup_section(t):
         F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("msic"),
         (F.col("c_custkey") % 30).cast("string").alias("msic_smpl"),
     )
-    industries = t.nation.filter("n_regionkey <> 2").select(F.col("n_nationkey").cast("string").alias("without '0'"), F.col("n_name").alias("SECTION"))
+    industries = t.nation.select(F.col("n_nationkey").cast("string").alias("without '0'"), F.when(F.col("n_regionkey") != 2, F.col("n_name")).alias("SECTION"))
     return lookups.lookup_section(raw, industries, {"msic": "section", "msic_smpl": "section_smpl"}).drop("msic", "msic_smpl")
 
 
 @query(
     "J13",
     """
-    select c_custkey, s_name as registered_name, coalesce(s_nationkey::varchar, c_name) as trading_name
-    from customer left join supplier on s_suppkey = c_custkey
+    with frame as (
+      select s_suppkey as k, s_name as registered, case when s_suppkey % 3 = 0 then null else s_nationkey::varchar end as trading from supplier
+      union all select s_suppkey, 'Z' || s_name, 'A' || s_nationkey from supplier),
+    best as (select k, registered, trading from (select *, row_number() over (partition by k order by trading is null, registered, trading) as rn from frame) where rn = 1)
+    select c_custkey, registered as registered_name, coalesce(trading, c_name) as trading_name from customer left join best on k = c_custkey
     """,
 )
 def sample_lookup(t):
+    """Names from a frame with two rows for each firm; both names come from one of them."""
     firms = t.customer.select("c_custkey", F.lpad(F.col("c_custkey").cast("string"), 12, "0").alias("NEWSSID"), F.col("c_name").alias("trading_name"))
-    frame = t.supplier.select(
-        F.lpad(F.col("s_suppkey").cast("string"), 12, "0").alias("NEWSSID"),
-        F.col("s_name").alias("registered_name"),
-        F.col("s_nationkey").cast("string").alias("trading_name"),
-    )
+    key = F.lpad(F.col("s_suppkey").cast("string"), 12, "0").alias("NEWSSID")
+    nation = F.col("s_nationkey").cast("string")
+    frame = t.supplier.select(key, F.col("s_name").alias("registered_name"), F.when(F.col("s_suppkey") % 3 != 0, nation).alias("trading_name"))
+    frame = frame.union(t.supplier.select(key, F.concat(F.lit("Z"), "s_name"), F.concat(F.lit("A"), nation)))
     return lookups.lookup_sample(firms, frame, columns=["registered_name", "trading_name"]).select("c_custkey", "registered_name", "trading_name")
 
 
@@ -235,12 +245,12 @@ def latest_control_record(t):
 
 
 @query(
-    "A6 A7 S2",
+    "A6",
     "select o_orderkey, o_totalprice from orders where year(o_orderdate) = 1997 and quarter(o_orderdate) = 2",
 )
 def period_rows(t):
-    dated = t.orders.withColumns({"YEARS": F.year("o_orderdate"), "QUARTER": F.quarter("o_orderdate")})
-    return read_period(dated, YEARS=1997, QUARTER=2).select("o_orderkey", "o_totalprice")
+    begin, end = quarter_range(1997, 2)
+    return t.orders.filter((F.col("o_orderdate") >= begin) & (F.col("o_orderdate") < end)).select("o_orderkey", "o_totalprice")
 
 
 @query("A1", "select c_custkey, c_name, c_mktsegment from customer")
@@ -278,7 +288,7 @@ def delimited_round_trip(t):
 
 
 @query(
-    "A12 A14 K8",
+    "A12 K8",
     """
     select o_orderkey, year(o_orderdate)::bigint as years, case when year(o_orderdate) = 1997 then o_totalprice * 2 else o_totalprice end as price
     from orders
@@ -301,3 +311,75 @@ def incremental_intake(t):
     write_csv(t.customer.select("c_custkey", "c_name", "c_mktsegment"), folder)
     intake_files(t.spark, folder, table, state, ["c_custkey", "c_name", "c_mktsegment"])
     return t.spark.read.parquet(table).drop("source_file")
+
+
+_PART_COLUMNS = {0: ["o_orderkey", "o_orderpriority", "o_totalprice"], 1: ["o_totalprice", "o_orderkey", "o_orderpriority"], 2: ["o_orderpriority", "o_totalprice", "o_orderkey"]}
+
+
+def _written_parts(t, name):
+    """Orders as CSV in three parts with their columns in different orders, the last one in ISO-8859-1."""
+    path = _scratch(t, name)
+    label = F.concat(F.col("o_orderpriority"), F.lit(" café"))
+    for part, columns in _PART_COLUMNS.items():
+        rows = t.orders.filter(F.col("o_orderkey") % 3 == part).withColumn("o_orderpriority", label).select(*columns)
+        encoding = "ISO-8859-1" if part == 2 else "UTF-8"
+        rows.write.mode("overwrite").option("header", True).option("encoding", encoding).csv(f"{path}/part{part}")
+    return path
+
+
+_PARTS_SQL = "select o_orderkey::varchar as o_orderkey, o_orderpriority || ' café' as o_orderpriority, o_totalprice::varchar as o_totalprice from orders"
+
+
+@query("A1 A3", _PARTS_SQL)
+def many_file_read(t):
+    """Files of different headers and encodings read as one table by name."""
+    return read_delimited(t.spark, f"{_written_parts(t, 'many_files')}/*/*.csv", encoding=None).select("o_orderkey", "o_orderpriority", "o_totalprice")
+
+
+@query("A4", "select s_suppkey::varchar as s_suppkey, s_name || ' ñ' as s_name from supplier")
+def offset_read(t):
+    """Files with two lines above the header, in ISO-8859-1, read by their header line."""
+    path = _scratch(t, "offset")
+    lines = t.supplier.select(F.concat_ws(",", F.col("s_suppkey").cast("string"), F.concat("s_name", F.lit(" ñ"))).alias("value"), F.col("s_suppkey").alias("place"))
+    head = t.spark.createDataFrame([("a report", -3), ("", -2), ("s_suppkey,s_name", -1)], "value string, place long")
+    ordered = lines.union(head).repartition(1).sortWithinPartitions("place").select("value")
+    ordered.write.mode("overwrite").option("encoding", "ISO-8859-1").text(path)
+    return read_with_offset(t.spark, f"{path}/*.txt", 2, encoding=None)
+
+
+@query("A10 A11", "select o_orderkey::varchar as o_orderkey, o_orderpriority || ' café' as o_orderpriority, o_totalprice::varchar as o_totalprice, 5::bigint as months, 1997::bigint as years, 2::bigint as quarter from orders")
+def ingested_finals(t):
+    """Three files of one month, in folders as Spark writes them, stacked under one period."""
+    path = _scratch(t, "finals")
+    label = F.concat(F.col("o_orderpriority"), F.lit(" café"))
+    for part, columns in _PART_COLUMNS.items():
+        rows = t.orders.filter(F.col("o_orderkey") % 3 == part).withColumn("o_orderpriority", label).select(*columns)
+        write_csv(rows, f"{path}/JR4M05Y1997_{part}.csv")
+    finals = ingest_finals(t.spark, path)
+    only = finals.pop("JR4M05Y1997")
+    return only.select("o_orderkey", "o_orderpriority", "o_totalprice", *[F.col(c).cast("long").alias(c.lower()) for c in ("MONTHS", "YEARS", "QUARTER")])
+
+
+@query("J1 J2", "select c_nationkey::bigint as c_nationkey, c_mktsegment, count(*) as rows from customer group by all having count(*) > 1")
+def template_key_audit(t):
+    """Keys of a template that stand in more than one row."""
+    return repeated_keys(t.customer, ["c_nationkey", "c_mktsegment"]).withColumn("c_nationkey", F.col("c_nationkey").cast("long"))
+
+
+@query("A6 A7 A14 S2", "select o_orderkey, o_totalprice, o_orderpriority from orders where year(o_orderdate) = 1997 and quarter(o_orderdate) = 2")
+def published_period(t):
+    """Orders published as two tables of a database; the one that holds the period is found and read."""
+    database = f"period_{uuid.uuid4().hex[:12]}"
+    spark = t.spark
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{_scratch(t, database)}'")
+    dated = t.orders.withColumns({"YEARS": F.year("o_orderdate"), "QUARTER": F.quarter("o_orderdate")})
+    publish(dated.filter("YEARS <= 1997"), "early", database, ("YEARS", "QUARTER"))
+    publish(dated.filter("YEARS > 1997"), "late", database, ("YEARS", "QUARTER"))
+    names = find_period_tables(spark, database, YEARS=1997, QUARTER=2)
+    parts = [read_period(load_table(spark, f"{database}.{n}"), YEARS=1997, QUARTER=2) for n in names]
+    whole = read_period(load_table(spark, f"{database}.early"), YEARS=1997, QUARTER=2).limit(0)
+    for part in parts:
+        whole = whole.unionByName(part)
+    found = stage(whole.select("o_orderkey", "o_totalprice", "o_orderpriority"), "period")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return found

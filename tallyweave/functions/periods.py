@@ -32,3 +32,11 @@ def half_of_month(month: Column | str) -> Column:
 def stamp(df: DataFrame, **period: int) -> DataFrame:
     """Add constant period columns, e.g. ``stamp(df, MONTHS=3, YEARS=2021)``."""
     return df.withColumns({name: F.lit(value) for name, value in period.items()})
+
+
+def quarter_range(year: int, quarter: int) -> tuple[Column, Column]:
+    """First moment of a quarter and of the next: as a range on a date column it reaches the scan's filters."""
+    after = year * 4 + quarter
+    begin = f"{year:04d}-{3 * quarter - 2:02d}-01"
+    end = f"{after // 4:04d}-{3 * (after % 4) + 1:02d}-01"
+    return F.lit(begin).cast("timestamp"), F.lit(end).cast("timestamp")

@@ -26,10 +26,18 @@ def retain_periods(
 
 
 def to_time_series(
-    df: DataFrame, keys: Sequence[str], period: str, periods: Sequence, value: str, how=F.sum
+    df: DataFrame, keys: Sequence[str], period: str, periods: Sequence | None, value: str, how=F.sum
 ) -> DataFrame:
-    """Long to wide: one column per listed period, null where a key has none."""
-    return df.groupBy(*keys).pivot(period, list(periods)).agg(how(value))
+    """Long to wide: one column per period, null where a key has none.
+
+    Without a list the periods are those of the data, in order; one row per
+    period reaches the driver. A given list must hold all of them, since rows of
+    another period would have no column.
+    """
+    found = [r[0] for r in df.select(period).distinct().dropna().orderBy(period).collect()]
+    if periods is not None and (unlisted := [p for p in found if p not in set(periods)]):
+        raise ValueError(f"periods without a column: {unlisted}")
+    return df.groupBy(*keys).pivot(period, list(found if periods is None else periods)).agg(how(value))
 
 
 def from_time_series(df: DataFrame, keys: Sequence[str], period: str, value: str, keep_null: bool = False) -> DataFrame:
