@@ -49,6 +49,11 @@ def _same(left: str, right: str, columns: dict[str, str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{left}.{x}").eqNullSafe(F.col(f"{right}.{y}")) for x, y in columns.items()])
 
 
+def _meet(left: DataFrame, right: DataFrame, columns: dict[str, str], how: str = "inner") -> DataFrame:
+    """Join of tables aliased a and b; both grow with the messages, so both are shuffled at every size."""
+    return left.alias("a").join(right.hint("merge").alias("b"), _same("a", "b", columns), how)
+
+
 def best_branches(messages: DataFrame, branches: int = 1) -> DataFrame:
     """Messages of the best root-to-leaf paths: tree, leaf, rank, place (0 at the root), role, text.
 
@@ -59,25 +64,26 @@ def best_branches(messages: DataFrame, branches: int = 1) -> DataFrame:
     )
     rows = stage(rows.groupBy("tree", "id").agg(F.min(F.struct("parent", "role", "text", "score")).alias("m")).select("tree", "id", "m.*"), "messages")
     ids = rows.select("tree", "id")
-    known = rows.alias("r").join(ids.alias("p"), _same("r", "p", {"tree": "tree", "parent": "id"}) & F.col("r.parent").isNotNull(), "left")
+    known = _meet(rows, ids, {"tree": "tree", "parent": "id"}, "left").withColumn("up", F.when(F.col("a.parent").isNotNull(), F.col("b.id")))
     # up: the message that many steps above; total and steps: of the messages from here to below it.
-    jump = stage(known.select("r.tree", "r.id", F.col("p.id").alias("up"), F.col("r.score").alias("total"), F.lit(1).cast("long").alias("steps")), "jump")
+    jump = stage(known.select("a.tree", "a.id", "up", F.col("a.score").alias("total"), F.lit(1).cast("long").alias("steps")), "jump")
     jumps, size = [], rows.count()
+    answered = jump.select("tree", F.col("up").alias("id")).where("id is not null").distinct()
     while jump.where("up is not null").limit(1).count() and 2 ** len(jumps) <= size:
         jumps.append(jump)
-        far = jump.alias("a").join(jump.alias("b"), _same("a", "b", {"tree": "tree", "up": "id"}) & F.col("a.up").isNotNull(), "left")
-        add = lambda c: (F.col(f"a.{c}") + F.coalesce(F.col(f"b.{c}"), F.lit(0))).alias(c)
-        jump = stage(far.select("a.tree", "a.id", "b.up", add("total"), add("steps")), "jump")
-    answered = known.select("r.tree", F.col("p.id").alias("id")).where("id is not null").distinct()
-    leaves = jump.where("up is null").alias("l").join(answered.alias("a"), _same("l", "a", {"tree": "tree", "id": "id"}), "left_anti")
+        far = _meet(jump.where("up is not null"), jump, {"tree": "tree", "up": "id"})
+        add = lambda c: (F.col(f"a.{c}") + F.col(f"b.{c}")).alias(c)
+        far = far.select("a.tree", "a.id", "b.up", add("total"), add("steps"))
+        jump = stage(far.union(jump.where("up is null")), "jump")
+    leaves = _meet(jump.where("up is null"), answered, {"tree": "tree", "id": "id"}, "left_anti")
     order = Window.partitionBy("tree").orderBy(F.desc(F.col("total") / F.col("steps")), F.desc("steps"), "id")
     path = leaves.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= branches)
     path = path.select("tree", F.col("id").alias("leaf"), "rank", "id", (F.col("steps") - 1).alias("place"))
     for step, table in reversed(list(enumerate(jumps))):
-        higher = path.alias("s").join(table.alias("j"), _same("s", "j", {"tree": "tree", "id": "id"})).where("j.up is not null")
-        path = stage(path.union(higher.select("s.tree", "s.leaf", "s.rank", "j.up", F.col("s.place") - 2**step)), "path")
-    found = path.alias("s").join(rows.alias("r"), _same("s", "r", {"tree": "tree", "id": "id"}))
-    return found.select("s.tree", "s.leaf", "s.rank", "s.place", "r.role", "r.text")
+        higher = _meet(path, table.where("up is not null"), {"tree": "tree", "id": "id"})
+        path = stage(path.union(higher.select("a.tree", "a.leaf", "a.rank", "b.up", F.col("a.place") - 2**step)), "path")
+    found = _meet(path, rows, {"tree": "tree", "id": "id"})
+    return found.select("a.tree", "a.leaf", "a.rank", "a.place", "b.role", "b.text")
 
 
 def format_paths(paths: DataFrame) -> DataFrame:
@@ -124,10 +130,10 @@ def turn_messages(conversations: DataFrame) -> DataFrame:
     rows = conversations.select("conv_id", "turn", "role", "text").distinct().withColumn("choice", F.row_number().over(own))
     turns = rows.where("choice = 1").select("conv_id", "turn")
     before = turns.withColumn("before", F.lag(F.struct("turn")).over(Window.partitionBy("conv_id").orderBy("turn")))
-    joined = rows.alias("r").join(before.alias("b"), _same("r", "b", {"conv_id": "conv_id", "turn": "turn"}))
+    joined = _meet(rows, before, {"conv_id": "conv_id", "turn": "turn"})
     parent = F.when(F.col("b.before").isNotNull(), F.struct(F.col("b.before.turn").alias("turn"), F.lit(1).alias("choice")))
     return joined.select(
-        F.col("r.conv_id").alias("tree"), F.struct(F.col("r.turn"), F.col("r.choice")).alias("id"), parent.alias("parent"), "r.role", "r.text", F.lit(0.0).alias("score")
+        F.col("a.conv_id").alias("tree"), F.struct(F.col("a.turn"), F.col("a.choice")).alias("id"), parent.alias("parent"), "a.role", "a.text", F.lit(0.0).alias("score")
     )
 
 
