@@ -79,8 +79,7 @@ def category_total(t):
 )
 def category_total_long(t):
     wide = _wide(t).select(*_ID, *_MEASURES)
-    long = measures.to_long(wide, ["l_orderkey"], len(_ID))
-    return measures.long_category_total(long, ["l_orderkey"]).select("l_orderkey", "variable", "value")
+    return measures.category_total_long(wide, ["l_orderkey"], len(_ID)).select("l_orderkey", "variable", "value")
 
 
 @query(
@@ -91,8 +90,7 @@ def category_total_long(t):
 )
 def row_total_long(t):
     wide = _wide(t).select(*_ID, *_MEASURES)
-    long = measures.to_long(wide, ["l_orderkey"], len(_ID))
-    return measures.long_row_total(long, ["l_orderkey"], list("LMNOP"), "Q").select("l_orderkey", "category", "value")
+    return measures.row_total_long(wide, ["l_orderkey"], list("LMNOP"), "Q", len(_ID)).select("l_orderkey", "category", "value")
 
 
 @query(

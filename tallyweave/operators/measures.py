@@ -151,6 +151,36 @@ def long_category_total(long: DataFrame, ids: Sequence[str]) -> DataFrame:
     return parts.select(*ids, "variable", "period", F.lit("0").alias("category"), "value")
 
 
+def _summed_in_row(df: DataFrame, ids: Sequence[str], groups: dict[tuple, list[str]], labels: Sequence[str]) -> DataFrame:
+    """Sums over ids and labels: measures of one label are added within the row, so one entry per label is grouped."""
+    entries = [
+        F.struct(*[F.lit(v).alias(n) for n, v in zip(labels, values, strict=True)], _add([_whole(df, m) for m in names]).alias("value"))
+        for values, names in groups.items()
+    ]
+    long = df.select(*ids, F.inline(F.array(*entries)))
+    return long.groupBy(*ids, *labels).agg(F.sum("value").alias("value"))
+
+
+def row_total_long(df: DataFrame, ids: Sequence[str], parts: Sequence[str], total: str, start: int = 0) -> DataFrame:
+    """:func:`long_row_total` straight from the wide records: only the parts' columns are read."""
+    groups: dict[tuple, list[str]] = {}
+    for m in parse_measures(df.columns, start):
+        if m.variable in parts:
+            groups.setdefault((m.period, m.digit), []).append(m.name)
+    summed = _summed_in_row(df, ids, groups, ["period", "category"])
+    return summed.select(*ids, F.lit(total).alias("variable"), "period", "category", "value")
+
+
+def category_total_long(df: DataFrame, ids: Sequence[str], start: int = 0) -> DataFrame:
+    """:func:`long_category_total` straight from the wide records: total columns are not read."""
+    groups: dict[tuple, list[str]] = {}
+    for m in parse_measures(df.columns, start):
+        if m.digit != "0":
+            groups.setdefault((m.variable, m.period), []).append(m.name)
+    summed = _summed_in_row(df, ids, groups, ["variable", "period"])
+    return summed.select(*ids, "variable", "period", F.lit("0").alias("category"), "value")
+
+
 def to_wide(long: DataFrame, ids: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """Long measures back to one column each, in the listed order."""
     return long.groupBy(*ids).pivot("measure", list(measures)).agg(F.first("value"))

@@ -2,7 +2,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tallyweave.operators import audits, cells, classify, dedupe, lookups, rules, transfer, versions, weights
+from tallyweave.operators import audits, cells, classify, dedupe, lookups, measures, rules, transfer, versions, weights
 
 
 def test_mark_first_null_keys_are_one_key(spark):
@@ -191,3 +191,12 @@ def test_time_series_round_trip(spark):
     assert rows(wide) == [("a", 1, 2, None), ("b", None, 5, None)]
     assert rows(versions.from_time_series(wide, ["k"], "period", "v")) == [("a", "Q1", 1), ("a", "Q2", 2), ("b", "Q2", 5)]
     assert versions.from_time_series(wide, ["k"], "period", "v", keep_null=True).count() == 6
+
+
+def test_totals_summed_in_the_row_equal_long_ones(spark):
+    df = spark.createDataFrame(
+        [(1, 1, 2, 3, 4, 9), (1, 5, None, 7, 8, 9), (2, 1, 1, 1, 1, 9)], "id int, L23104F01011 int, L23104F01012 int, M23104F01011 int, M23104F01012 int, Q23104F01010 int"
+    )
+    long = measures.to_long(df, ["id"], 1)
+    assert rows(measures.row_total_long(df, ["id"], ["L", "M"], "Q", 1)) == rows(measures.long_row_total(long, ["id"], ["L", "M"], "Q"))
+    assert rows(measures.category_total_long(df, ["id"], 1)) == rows(measures.long_category_total(long, ["id"]))
