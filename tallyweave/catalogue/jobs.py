@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from tallyweave import config
 from tallyweave.catalogue.registry import query
+from tallyweave.operators.audits import sole_value
 from tallyweave.operators.cells import factor_columns, population_cells, region_master
-from tallyweave.operators.headers import sanitize_columns
+from tallyweave.operators.headers import sanitize_columns, verify_headers
 from tallyweave.plans import clean_establishments, roll_up, transfer_individual_weights, weight_household
 from tallyweave.session import stage
 
@@ -147,7 +148,7 @@ def _report(done):
     )
 
 
-@query("P1 P2 P3 P4 P5 P6 P7 P8 P9 P10 P11 P12 P13 P14", _household_sql("o_orderkey"))
+@query("P1 P2 P3 P4 P5 P6 P7 P8 P9 P10 P11 P12 P13", _household_sql("o_orderkey"))
 def household_weights(t):
     return _report(weight_household(*_inputs(t)))
 
@@ -287,6 +288,27 @@ def individual_weights(t):
     )
 
 
+@query("AG9", "select max(year(o_orderdate))::bigint as year from orders")
+def sole_year(t):
+    """The one year that all orders carry once they are stamped with the latest."""
+    latest = t.orders.agg(F.max(F.year("o_orderdate"))).first()[0]
+    stamped = t.orders.withColumn("YEAR", F.when(F.year("o_orderdate") <= latest, latest))
+    return t.spark.createDataFrame([(sole_value(stamped, "YEAR"),)], "year long")
+
+
+@query(
+    "B6",
+    """
+    select column_name as source, case when column_name = 'p_partkey' then 'NEWSSID' when column_name = 'p_size' then 'EMPLOYEES' end as target,
+           case when column_name in ('p_partkey', 'p_size') then 'mapped' else 'extra' end as status
+    from (describe part) union all select 'p_absent', 'STRATA', 'missing'
+    """,
+)
+def header_report(t):
+    """Headers of the parts table held against a mapping of three names."""
+    return verify_headers(t.spark, t.part.columns, [("p_partkey", "NEWSSID"), ("p_size", "EMPLOYEES"), ("p_absent", "STRATA")])
+
+
 # Establishment headers: raw name -> new name. Measures of two variables plus their total.
 _HEADERS = {
     "e_id": "NEWSSID",
@@ -315,7 +337,7 @@ _HEADERS = {
 
 
 @query(
-    "P17 P18 P20 B5 B6 J11 J13 D9 C15",
+    "P17 P18 P20 B5 J11 J13 D9 C15",
     """
     with code as (select n_nationkey, case when n_regionkey = 2 then 'C' else n_name end as section from nation),
     firm as (
