@@ -52,6 +52,8 @@ MARKS = frozenset(
     "recommended recommendations pagination pager toolbar search searchform hidden skip copyright contentinfo complementary".split()
 )
 ARTICLE_MARKS = frozenset("articlebody".split())
+#: Class names that make an article or main element boilerplate; other marks there only describe the page.
+NO_ARTICLE = frozenset("ad advert comment comments reply promo related sponsored".split())
 
 #: Pages a wrapper must rest on before texts that never change count as template; share of text that the article must hold.
 LEAST_PAGES, LEAST_SHARE = 8, 0.6
@@ -65,6 +67,8 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden|itemprop)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Names such as with-sidebar tell what stands elsewhere.
+_ABOUT = re.compile(r"\b(?:has|with|without|no)[-_]?[a-zA-Z]+")
 
 Node = list  # [label, is_boilerplate, children]; a child is a Node or a text
 
@@ -74,7 +78,9 @@ def _label(tag: str, attributes: str) -> tuple[str, bool, bool]:
     """Label of an element, whether it is boilerplate, and whether its name says article."""
     found = {a.lower(): b or c or d for a, b, c, d in _ATTRIBUTE.findall(attributes)}
     named = re.sub(r"(?<=[-_])\d+|\d{2,}", "#", " ".join(filter(None, (found.get("class"), found.get("id")))))
-    parts = {p.lower() for key in ("class", "id", "role") for p in _PARTS.findall(found.get(key) or "")}
+    parts = {p.lower() for key in ("class", "id", "role") for p in _PARTS.findall(_ABOUT.sub("", found.get(key) or ""))}
+    if tag in ("article", "main"):
+        parts = {p.lower() for p in (found.get("class") or "").split()} & NO_ARTICLE
     shut = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in (found.get("style") or "").replace(" ", "")
     good = (found.get("itemprop") or "").lower() in ARTICLE_MARKS
     return f"{tag}.{named}" if named else tag, tag in BOILERPLATE or shut or (not good and tag not in ("html", "body") and bool(parts & MARKS)), good
@@ -235,10 +241,10 @@ def article_path(wrapper: list, pages: int) -> list[str]:
 
 
 def _semantic(node: list, tag: str, path: list[str], many: bool) -> tuple[int, list[str]] | None:
-    """The heaviest element of a tag that is not repeated."""
+    """The heaviest element of a tag, repeated ones of one label counting together."""
     found = []
     for c in node[4]:
-        if len(c) == 5 and not c[3] and not c[1]:
+        if len(c) == 5 and not c[3] and (not c[1] or _tag(c[0]) == tag):
             if _tag(c[0]) == tag:
                 found.append((_weight(c, many), [*path, c[0]]))
             elif inner := _semantic(c, tag, [*path, c[0]], many):
@@ -268,12 +274,13 @@ def template_texts(wrapper: list, path: list[str], pages: int) -> list[str]:
 
 
 def read(page: str, path: list[str], template: frozenset[str] = frozenset()) -> str:
-    """Text of the element at ``path``; empty where the page lacks it."""
-    node = parse(page)
+    """Text of the element at ``path``, or of all articles there; empty where the page lacks it."""
+    nodes = [parse(page)]
     for label in path:
-        node = next((c for c in node[2] if not isinstance(c, str) and c[0] == label and not c[1]), None)
-        if node is None:
-            return ""
+        # A repeated article is read whole; above it the path is unique.
+        nodes = [c for node in nodes[:1] for c in node[2] if not isinstance(c, str) and c[0] == label and not c[1]]
+    if path and _tag(path[-1]) != "article":
+        nodes = nodes[:1]
     parts: list[str] = []
 
     def walk(x: Node) -> None:
@@ -296,7 +303,8 @@ def read(page: str, path: list[str], template: frozenset[str] = frozenset()) ->
                 walk(c)
         flush()
 
-    walk(node)
+    for node in nodes:
+        walk(node)
     return " ".join(parts)
 
 

@@ -66,6 +66,20 @@ def test_other_layouts(spark, layout):
         assert got[i] == " ".join(paragraphs)
 
 
+def test_names_that_only_describe_the_page():
+    page = (
+        '<body class="has-sidebar"><main class="content with-sidebar"><article class="post share-on"><header><h1>Title</h1></header><p>One.</p></article>'
+        '<article class="comment"><p>Reader</p></article><div class="no-comments"></div></main><div class="sidebar">x</div></body>'
+    )
+    assert wrappers.extract(page, None) == "Title One."
+    two = "<body><article><p>First.</p></article><article><p>Second.</p></article><footer>f</footer></body>"
+    assert wrappers.extract(two, None) == "First. Second."
+    one = "<body><article><p>Alone.</p></article><p>elsewhere</p></body>"
+    merged = wrappers._join(*(wrappers.fold(wrappers.parse(p)) for p in (two, one)))
+    path = wrappers.article_path(merged, 2)
+    assert [wrappers.read(p, path) for p in (two, one)] == ["First. Second.", "Alone."]
+
+
 def test_alignment_finds_slots_options_and_repeats():
     pages = ["<div><h2>News</h2><p>one</p><i>x</i></div>", "<div><h2>News</h2><p>two</p><p>three</p><table>t</table></div>"]
     a, b = (wrappers.fold(wrappers.parse(p)) for p in pages)
