@@ -39,6 +39,7 @@ def band_10(t):
 _CODE = "1100 + (l_partkey * 37 + l_suppkey) % 8950"
 
 
+# The code ranges of the ethnic families in the SQL below.
 @query(
     "D3 D4 D5",
     f"""

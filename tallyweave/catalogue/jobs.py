@@ -46,9 +46,15 @@ BANDS = """
 """
 
 _COLUMNS = list(config.POPULATION_COLUMNS)
+# States by region.
 _REGION = """case when ng in (1,2,3,4,5,6,7,8,9,10,11,14,16) then 'SEM' when ng in (12, 15) then 'SAB' when ng = 13 then 'SAR' end"""
-# Column number, group and region of the population template.
-_COLUMN_ROWS = ", ".join(f"({i}, {g}, '{r}')" for i, (g, r) in enumerate(config.POPULATION_COLUMNS.values()))
+# Column number, group and region of the population template, written out for the comparison SQL.
+_COLUMN_ROWS = """
+    (0, 1, 'SEM'), (1, 2, 'SEM'), (2, 3, 'SEM'), (3, 4, 'SEM'), (4, 5, 'SEM'), (5, 0, 'SEM'), (6, 1, 'SAB'),
+    (7, 2, 'SAB'), (8, 3, 'SAB'), (9, 4, 'SAB'), (10, 5, 'SAB'), (11, 6, 'SAB'), (12, 7, 'SAB'), (13, 0, 'SAB'),
+    (14, 1, 'SAR'), (15, 2, 'SAR'), (16, 3, 'SAR'), (17, 4, 'SAR'), (18, 5, 'SAR'), (19, 6, 'SAR'), (20, 7, 'SAR'),
+    (21, 0, 'SAR')
+"""
 
 
 def _plain(text: str) -> str:
@@ -56,7 +62,10 @@ def _plain(text: str) -> str:
 
 
 def _household_sql(order: str, literal: bool = False) -> str:
-    """The whole weighting in SQL; ``order`` ranks the records of one response key."""
+    """The whole weighting in SQL; ``order`` ranks the records of one response key.
+
+    Fixed values: the ethnic codes and their groups by region, and the code of citizens.
+    """
     other = "case when cit = 2 then j else grp end" if literal else "grp"
     attached = ""
     if literal:

@@ -20,7 +20,7 @@ from tallyweave.functions.numbers import exact_sum, factor_or_one
 from tallyweave.functions.periods import stamp
 from tallyweave.operators import audits, cells, classify, dedupe, weights
 from tallyweave.operators.headers import upper_headers
-from tallyweave.operators.joins import lookup
+from tallyweave.operators.joins import lookup, unique_keys
 from tallyweave.session import stage
 from tallyweave.sources.delimited import position_columns
 
@@ -126,7 +126,7 @@ def weight_household(
     combos = combos.withColumn("_sum", F.col("records") * F.col("ADJUSTED_WEIGHT"))
 
     sample = cells.weighted_cells(combos, cells.CELL, "_sum")
-    target = cells.population_cells(population)
+    target = unique_keys(cells.population_cells(population), cells.CELL, "the population template")
     factors = _factors(sample, target, semantics, share_blank_cells)
     keyed = weights.factor_keys(factors, semantics)
 
