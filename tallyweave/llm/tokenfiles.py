@@ -4,19 +4,20 @@
 by how often the corpus uses them and writes the documents in ascending id
 order, ``read`` reads the files back. A file is a Parquet file whose rows are
 blocks of about ``BLOCK_IDS`` ids: the document ids and their lengths, one
-control byte for every four ids (two bits each: bytes of the value less one),
-and apart from them the bytes of the values, lowest first. Frequent ids have
+control byte for every four ids of a document (two bits each: bytes of the value
+less one), and apart from them the bytes of the values, lowest first. Frequent ids have
 small ranks and take one byte. Decoding looks the four lengths of each control
 byte up in a table. Spark's writer commits the files, so a lost executor
 repeats its tasks and leaves no part of a file behind.
 
 Null texts count as empty: they hold the end id alone. A null document id sorts
-first. Rows that share an id are ordered by their token ids, and each keeps its
+first. Rows that share an id are ordered by the bytes of their ids, and each keeps its
 place. Empty tables give empty files and results; extra columns are dropped.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import uuid
@@ -44,25 +45,36 @@ WORDS_A_CALL = 200
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 
 
-def pack(values: np.ndarray) -> tuple[bytes, bytes]:
-    """Control bytes and value bytes of non-negative values below 2^32."""
+def pack(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Control bytes, value bytes and the value bytes of each sequence, for sequences of values below 2^32 in a row.
+
+    Each sequence begins with a control byte of its own; its last one may
+    describe fewer than four values.
+    """
     values = values.astype(np.int64)
     size = 1 + (values > 0xFF).astype(np.int64) + (values > 0xFFFF) + (values > 0xFFFFFF)
-    codes = np.zeros(-(-len(values) // 4) * 4, np.uint8)
-    codes[: len(values)] = size - 1
+    ends = np.cumsum(counts)
+    groups = -(-counts // 4)
+    place = np.arange(len(values)) + np.repeat(4 * (np.cumsum(groups) - groups) - (ends - counts), counts)
+    codes = np.zeros(4 * int(groups.sum()), np.uint8)
+    codes[place] = size - 1
     control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    starts = np.cumsum(size) - size
-    data = np.zeros(int(size.sum()), np.uint8)
+    stops = np.cumsum(size)
+    starts = stops - size
+    data = np.zeros(int(stops[-1]) if len(stops) else 0, np.uint8)
     data[starts] = values & 0xFF
     for k in (1, 2, 3):
         there = np.flatnonzero(size > k)
         data[starts[there] + k] = values[there] >> (8 * k) & 0xFF
-    return control.tobytes(), data.tobytes()
+    bounds = np.concatenate([[0], stops])[np.concatenate([[0], ends])]
+    return control, data, np.diff(bounds)
 
 
-def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
-    """The ``count`` values that ``pack`` wrote."""
-    size = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:count]
+def unpack(control: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
+    """The values that ``pack`` wrote, in a row."""
+    size = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)
+    groups = -(-counts // 4)
+    size = size[np.arange(int(counts.sum())) + np.repeat(4 * (np.cumsum(groups) - groups) - (np.cumsum(counts) - counts), counts)]
     starts = np.cumsum(size) - size
     stream = np.frombuffer(data, np.uint8)
     values = stream[starts].astype(np.int64)
@@ -168,32 +180,41 @@ def load(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def id_type(path: str, end_id: int) -> str:
+    """The narrowest type that holds all ids of a tokenizer: 16 or 32 bits, lowest byte first."""
+    return "<u2" if max(len(load(path).ends_word) - 1, end_id) < 1 << 16 else "<u4"
+
+
 def encode(documents: DataFrame, path: str, end_id: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Id and token ids (32-bit, lowest byte first) of every document, the end id last."""
+    """Id and token ids (bytes of :func:`id_type`) of every document, the end id last."""
+    kind = id_type(path, end_id)
+    width = np.dtype(kind).itemsize
     frame = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = load(path)
-        for batch in bytetext.chunks(batches):
+        gc.disable()  # millions of small strings and no cycles among them
+        for batch in bytetext.chunks(batches, limit=2 << 20):
             ids, counts = coder.encode_batch(bytetext.text_array(batch).to_pylist())
             ends = np.cumsum(counts)
-            ids = np.insert(ids, ends, end_id).astype("<u4").tobytes()
+            ids = np.insert(ids, ends, end_id).astype(kind).tobytes()
             ends = ends + np.arange(1, len(ends) + 1)
-            bounds = (4 * np.concatenate([[0], ends])).astype(np.int32)
+            bounds = (width * np.concatenate([[0], ends])).astype(np.int32)
             packed = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(bounds), pa.py_buffer(ids)])
             yield pa.RecordBatch.from_arrays([batch.column(0), packed], names=["doc_id", "ids"])
+        gc.enable()
 
     return frame.mapInArrow(run, "doc_id long, ids binary")
 
 
-def frequency_order(encoded: DataFrame) -> np.ndarray:
+def frequency_order(encoded: DataFrame, kind: str) -> np.ndarray:
     """Ids of the corpus by falling frequency, then by id; at most one entry for each vocabulary id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
             data, _ = bytetext.utf8(batch.column(0).cast(pa.large_binary()))
-            found = np.bincount(data.view("<u4"))
+            found = np.bincount(data.view(kind))
             if len(found) > len(total):
                 found, total = total, found
             total[: len(found)] += found
@@ -204,44 +225,47 @@ def frequency_order(encoded: DataFrame) -> np.ndarray:
     return np.array([r.id for r in counts.orderBy(F.desc("n"), "id").collect()], np.int64)
 
 
-def write(encoded: DataFrame, path: str, partitions: int | None = None) -> None:
+def write(encoded: DataFrame, path: str, kind: str, partitions: int | None = None) -> None:
     """Write encoded documents to ``path/ids`` in ascending document order and the ranked ids to ``path/order``.
 
     ``encoded`` is read three times, so give a stored table. ``partitions`` is
     the number of files, by default the session's shuffle partitions.
     """
     spark = encoded.sparkSession
-    order = frequency_order(encoded)
+    order = frequency_order(encoded, kind)
     spark.createDataFrame([(i, int(x)) for i, x in enumerate(order)], "rank int, id long").coalesce(1).write.parquet(f"{path}/order")
     ranks = np.zeros(int(order.max()) + 1 if len(order) else 0, np.int64)
     ranks[order] = np.arange(len(order))
 
+    BLOCK = pa.schema(  # noqa: N806
+        [("part", pa.int32()), ("block", pa.int32()), ("before", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("control", pa.binary()), ("data", pa.binary())]
+    )
+
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        docs, parts, held, before, number = [], [], 0, 0, 0
+        rows: list[tuple] = []
+        held, before, number = 0, 0, 0
 
         def block() -> pa.RecordBatch:
-            control, data = pack(ranks[np.concatenate(parts)])
-            arrays = [[part], [number], [before], [held], [docs], [[len(p) for p in parts]], [control], [data]]
+            docs, sequences = zip(*rows, strict=True)
+            counts = np.array([len(x) // width for x in sequences], np.int64)
+            control, data, _ = pack(ranks[np.frombuffer(b"".join(sequences), kind)], counts)
+            arrays = [[part], [number], [before], [held], [docs], [counts], [control.tobytes()], [data.tobytes()]]
             return pa.RecordBatch.from_arrays([pa.array(a, f.type) for a, f in zip(arrays, BLOCK, strict=True)], schema=BLOCK)
 
         for batch in batches:
-            for doc, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                docs.append(doc)
-                parts.append(np.frombuffer(ids.as_buffer(), "<u4"))
-                held += len(parts[-1])
+            for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                rows.append(row)
+                held += len(row[1]) // width
                 if held >= BLOCK_IDS:
                     yield block()
-                    docs, parts, held, before, number = [], [], 0, before + held, number + 1
-            parts = [p.copy() for p in parts]
-        if docs:
+                    rows, held, before, number = [], 0, before + held, number + 1
+        if rows:
             yield block()
 
-    BLOCK = pa.schema(  # noqa: N806
-        [("part", pa.int32()), ("block", pa.int32()), ("before", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("control", pa.binary()), ("data", pa.binary())]
-    )
+    width = np.dtype(kind).itemsize
     count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = encoded.repartitionByRange(count, "doc_id").sortWithinPartitions("doc_id", "ids")
     schema = "part int, block int, before long, n_ids long, doc_ids array<long>, lengths array<long>, control binary, data binary"
@@ -259,9 +283,9 @@ def read(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                part, before, count, docs, lengths, control, data = (batch.column(c)[i] for c in range(7))
-                ids = order[unpack(control.as_py(), data.as_py(), count.as_py())]
+                part, before, docs, lengths, control, data = (batch.column(c)[i] for c in range(6))
                 size = lengths.values.to_numpy()
+                ids = order[unpack(control.as_py(), data.as_py(), size)]
                 ends = np.cumsum(size)
                 start = firsts[part.as_py()] + before.as_py() + ends - size
                 if digest:
@@ -272,7 +296,7 @@ def read(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([docs.values, pa.array(start), pa.array(size), values], names=["doc_id", "start", "n_tokens", "ids"])
 
     last = "ids_crc32 long" if digest else "ids array<long>"
-    picked = blocks.select("part", "before", "n_ids", "doc_ids", "lengths", "control", "data")
+    picked = blocks.select("part", "before", "doc_ids", "lengths", "control", "data")
     return picked.mapInArrow(run, f"doc_id long, start long, n_tokens long, {last}")
 
 
@@ -281,5 +305,5 @@ def round_trip(documents: DataFrame, path: str, end_id: int, folder: str | None
     spark = documents.sparkSession
     folder = folder or f"{run_folder(spark)}/{uuid.uuid4().hex}"
     encode(documents, path, end_id).write.option("compression", "zstd").parquet(f"{folder}/encoded")
-    write(spark.read.parquet(f"{folder}/encoded"), f"{folder}/files")
+    write(spark.read.parquet(f"{folder}/encoded"), f"{folder}/files", id_type(path, end_id))
     return read(spark, f"{folder}/files", digest=True)
