@@ -11,8 +11,10 @@ with a third of all pages is never gathered in one place.
 From the wrapper follows where the article stands: the innermost element that
 holds nearly all of the changing text, an article or main element first, without
 elements that are boilerplate by their tag or name. Texts that never change
-although many pages differ are template. Each page is then read through its
-host's wrapper, or through its own where that finds nothing.
+although many pages differ in most of their text are template and do not count
+in that search; inside the article they stay. Equal pages count once. Each page
+is then read through its host's wrapper, or through its own where that finds
+nothing.
 
 Null pages give empty texts, as do pages without text; pages without a host form
 one group. Broken markup is closed as browsers do. Texts keep every word of the
@@ -21,6 +23,7 @@ article. Repeated rows give repeated results; extra columns are dropped.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -55,7 +58,7 @@ ARTICLE_MARKS = frozenset("articlebody".split())
 #: Class names that make an article or main element boilerplate; other marks there only describe the page.
 NO_ARTICLE = frozenset("ad advert comment comments reply promo related sponsored".split())
 
-#: Pages a wrapper must rest on before texts that never change count as template; share of text that the article must hold.
+#: Different pages a wrapper must rest on before texts that never change count as template; share of text that the article must hold.
 LEAST_PAGES, LEAST_SHARE = 8, 0.6
 #: Hosts that a task merges before it passes them on; slices of one host.
 HOSTS_HELD, SLICES = 5_000, 64
@@ -220,11 +223,14 @@ def _tag(label: str) -> str:
     return label.split(".", 1)[0]
 
 
+def _differ(wrapper: list, pages: int) -> bool:
+    """Whether so many different pages differ in most of their text that what never changes is template."""
+    return pages >= LEAST_PAGES and 2 * _weight(wrapper, True) > _weight(wrapper, False)
+
+
 def article_path(wrapper: list, pages: int) -> list[str]:
-    """Labels from the root to the element that holds the article."""
-    many = pages >= LEAST_PAGES
-    if many and not _weight(wrapper, True):
-        many = False
+    """Labels from the root to the element that holds the article; ``pages`` counts different ones."""
+    many = _differ(wrapper, pages)
     total = _weight(wrapper, many)
     for wanted in ("article", "main"):
         found = _semantic(wrapper, wanted, [], many)
@@ -253,8 +259,8 @@ def _semantic(node: list, tag: str, path: list[str], many: bool) -> tuple[int, l
 
 
 def template_texts(wrapper: list, path: list[str], pages: int) -> list[str]:
-    """Texts inside the article that are the same on all of many different pages."""
-    if pages < LEAST_PAGES or not _weight(wrapper, True):
+    """Texts inside the element at ``path`` that are the same on all of many different pages."""
+    if not _differ(wrapper, pages):
         return []
     node = wrapper
     for label in path:
@@ -273,7 +279,7 @@ def template_texts(wrapper: list, path: list[str], pages: int) -> list[str]:
     return out
 
 
-def read(page: str, path: list[str], template: frozenset[str] = frozenset()) -> str:
+def read(page: str, path: list[str]) -> str:
     """Text of the element at ``path``, or of all articles there; empty where the page lacks it."""
     nodes = [parse(page)]
     for label in path:
@@ -289,7 +295,7 @@ def read(page: str, path: list[str], template: frozenset[str] = frozenset()) ->
         def flush() -> None:
             block = " ".join("".join(own).split())
             own.clear()
-            if block and block not in template:
+            if block:
                 parts.append(block)
 
         for c in x[2]:
@@ -308,9 +314,9 @@ def read(page: str, path: list[str], template: frozenset[str] = frozenset()) ->
     return " ".join(parts)
 
 
-def extract(page: str, rule: tuple[list[str], list[str]] | None) -> str:
-    """Main text of one page through its host's rule, or through its own wrapper."""
-    if rule is not None and (found := read(page, rule[0], frozenset(rule[1]))):
+def extract(page: str, path: list[str] | None) -> str:
+    """Main text of one page through its host's article path, or through its own wrapper."""
+    if path is not None and (found := read(page, path)):
         return found
     return read(page, article_path(fold(parse(page)), 1))
 
@@ -320,33 +326,39 @@ def host(url: str | Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def _merge(wrappers: list[tuple[str, int]]) -> tuple[str, int]:
+def _mark(wrapper: str) -> str:
+    """Digest of one page's wrapper: pages that say the same have the same."""
+    return hashlib.blake2b(wrapper.encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
+
+
+def _merge(wrappers: list[tuple[str, list[str]]]) -> tuple[str, list[str]]:
     """One wrapper of several; in a fixed order, so that a repeated task gives the same."""
     ordered = sorted(wrappers)
     out = json.loads(ordered[0][0])
     for other, _ in ordered[1:]:
         out = _join(out, json.loads(other))
-    return json.dumps(out, ensure_ascii=False), sum(n for _, n in ordered)
+    return json.dumps(out, ensure_ascii=False), sorted({m for _, marks in ordered for m in marks})[:LEAST_PAGES]
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """host, wrapper (JSON) and number of pages."""
+    """host, wrapper (JSON) and the marks of its different pages, of ``LEAST_PAGES`` at most."""
+    kinds = (pa.string(), pa.string(), pa.list_(pa.string()))
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
 
         def out() -> pa.RecordBatch:
-            rows = [(h, json.dumps(w, ensure_ascii=False), n) for h, (w, n) in held.items()]
-            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64()))], names=["host", "wrapper", "pages"])
+            rows = [(h, json.dumps(w, ensure_ascii=False), sorted(m)) for h, (w, m) in held.items()]
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["host", "wrapper", "pages"])
 
         for batch in batches:
             for name, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 new = fold(parse(page or ""))
-                if name in held:
-                    old = held[name]
-                    old[0], old[1] = _join(old[0], new), old[1] + 1
-                else:
-                    held[name] = [new, 1]
+                old = held.setdefault(name, [new, set()])
+                if len(old[1]) < LEAST_PAGES:
+                    old[1].add(_mark(json.dumps(new, ensure_ascii=False)))
+                if old[0] is not new:
+                    old[0] = _join(old[0], new)
             if len(held) > HOSTS_HELD:
                 yield out()
                 held = {}
@@ -355,19 +367,19 @@ def wrappers(pages: DataFrame) -> DataFrame:
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, rows = None, []
-        done: list[tuple[str, str, int]] = []
+        done: list[tuple[str, str, list[str]]] = []
         for batch in batches:
-            for key, wrapper, count in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            for key, wrapper, seen in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 if key != name and rows:
                     done.append((name, *_merge(rows)))
                     rows = []
                 name = key
-                rows.append((wrapper, count))
+                rows.append((wrapper, seen))
         if rows:
             done.append((name, *_merge(rows)))
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in done], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64()))], names=["host", "wrapper", "pages"])
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in done], t) for k, t in enumerate(kinds)], names=["host", "wrapper", "pages"])
 
-    schema = "host string, wrapper string, pages long"
+    schema = "host string, wrapper string, pages array<string>"
     parts = pages.select(host("url").alias("host"), "html").mapInArrow(first, schema)
     parts = parts.withColumn("slice", F.pmod(F.xxhash64("wrapper"), F.lit(SLICES)))
     parts = parts.repartition("host", "slice").sortWithinPartitions("host", "slice").select("host", "wrapper", "pages").mapInArrow(merge, schema)
@@ -375,15 +387,13 @@ def wrappers(pages: DataFrame) -> DataFrame:
 
 
 def rules(found: DataFrame) -> DataFrame:
-    """host and its rule: path of the article and template texts (JSON)."""
+    """host and its rule: path of the article (JSON)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for wrapper, count in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                tree = json.loads(wrapper)
-                path = article_path(tree, count)
-                out.append(json.dumps([path, template_texts(tree, path, count)], ensure_ascii=False))
+            for wrapper, seen in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                out.append(json.dumps(article_path(json.loads(wrapper), len(seen)), ensure_ascii=False))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["host", "rule"])
 
     return found.select("host", "wrapper", "pages").mapInArrow(run, "host string, rule string")
@@ -395,7 +405,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     frame = pages.select("page_id", "url", "html").withColumn("host", host("url")).join(learned, "host", "left").select("page_id", "url", "html", "rule")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple] = {}
+        known: dict[str, list] = {}
         for batch in batches:
             for begin in range(0, batch.num_rows, 200):
                 part = batch.slice(begin, 200)
@@ -404,7 +414,7 @@ def main_text(pages: DataFrame) -> DataFrame:
                     if rule is not None and rule not in known:
                         if len(known) > 10_000:
                             known.clear()
-                        known[rule] = tuple(json.loads(rule))
+                        known[rule] = json.loads(rule)
                     texts.append(extract(page or "", known.get(rule)))
                 arrays = [part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
                 yield pa.RecordBatch.from_arrays(arrays, names=["page_id", "url", "text", "n_chars"])

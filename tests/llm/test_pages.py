@@ -116,3 +116,13 @@ def test_edge_cases(spark):
     assert texts[4] == " ".join(["word & more"] * 20000)
     assert texts[5] == "abc d e"
     assert wrappers.main_text(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("count", [7, 8, 100])
+def test_article_text_stays_whole_on_a_host_of_near_copies(spark, count):
+    page = "<body><article><h1>T</h1><p>a1</p><h2>S</h2><p>{}</p></article><footer>end</footer></body>"
+    rows = []
+    for name, says in (("copies", lambda i: "other" if i else "a2"), ("versions", lambda i: f"version {i} of this"), ("equal", lambda i: "a2")):
+        rows += [(f"{name} {i}", f"https://{name}.example/{i}", page.format(says(i if name == "versions" else i == 0)), f"T a1 S {says(i if name == 'versions' else i == 0)}") for i in range(count)]
+    frame = spark.createDataFrame([r[:3] for r in rows], "page_id string, url string, html string")
+    assert {r.page_id: r.text for r in wrappers.main_text(frame).collect()} == {r[0]: r[3] for r in rows}
