@@ -10,11 +10,13 @@ with a third of all pages is never gathered in one place.
 
 From the wrapper follows where the article stands: the innermost element that
 holds nearly all of the changing text, an article or main element first, without
-elements that are boilerplate by their tag or name. Texts that never change
+elements that are boilerplate by their tag or name. What is left beside it is
+at most a tenth, over all levels; where the text is spread, their common container is
+the article, and several article elements of one place count together. Texts that never change
 although many pages differ in most of their text are template and do not count
 in that search; inside the article they stay. Equal pages count once. Each page
 is then read through its host's wrapper, or through its own where that finds
-nothing.
+less than half of the page's text outside boilerplate and template.
 
 Null pages give empty texts, as do pages without text; pages without a host form
 one group. Broken markup is closed as browsers do. Texts keep every word of the
@@ -58,8 +60,10 @@ ARTICLE_MARKS = frozenset("articlebody".split())
 #: Class names that make an article or main element boilerplate; other marks there only describe the page.
 NO_ARTICLE = frozenset("ad advert comment comments reply promo related sponsored".split())
 
-#: Different pages a wrapper must rest on before texts that never change count as template; share of text that the article must hold.
-LEAST_PAGES, LEAST_SHARE = 8, 0.6
+#: Different pages a wrapper must rest on before texts that never change count as template; share of all text that the article must hold.
+LEAST_PAGES, LEAST_SHARE = 8, 0.9
+#: Share that article elements must hold where only loose paragraphs stand beside them; share of a page that its host's path must read.
+LOOSE_SHARE, READ_SHARE = 2 / 3, 0.5
 #: Hosts that a task merges before it passes them on; slices of one host.
 HOSTS_HELD, SLICES = 5_000, 64
 
@@ -234,37 +238,49 @@ def article_path(wrapper: list, pages: int) -> list[str]:
     total = _weight(wrapper, many)
     for wanted in ("article", "main"):
         found = _semantic(wrapper, wanted, [], many)
-        if found and 2 * found[0] >= total:
+        if found and found[0] >= LEAST_SHARE * total:
+            return found[1]
+        if found and wanted == "article" and found[0] >= LOOSE_SHARE * total and found[0] + _loose(wrapper, found[1], many) >= LEAST_SHARE * total:
             return found[1]
     path, node = [], wrapper
     while True:
         inner = [c for c in node[4] if len(c) == 5 and not c[3] and not c[1] and _tag(c[0]) in CONTAINERS]
         best = max(inner, key=lambda c: _weight(c, many), default=None)
-        if best is None or _weight(best, many) < LEAST_SHARE * max(1, _weight(node, many)):
+        # Of all text, so that what is left beside the path does not add up from level to level.
+        if best is None or _weight(best, many) < LEAST_SHARE * max(1, total):
             return path
         path.append(best[0])
         node = best
 
 
 def _semantic(node: list, tag: str, path: list[str], many: bool) -> tuple[int, list[str]] | None:
-    """The heaviest element of a tag, repeated ones of one label counting together."""
+    """The heaviest place of elements of a tag, all of one parent counting together; the path ends with the tag."""
     found = []
+    own = [c for c in node[4] if len(c) == 5 and not c[3] and _tag(c[0]) == tag]
+    if own:
+        found.append((sum(_weight(c, many) for c in own), [*path, tag]))
     for c in node[4]:
-        if len(c) == 5 and not c[3] and (not c[1] or _tag(c[0]) == tag):
-            if _tag(c[0]) == tag:
-                found.append((_weight(c, many), [*path, c[0]]))
-            elif inner := _semantic(c, tag, [*path, c[0]], many):
-                found.append(inner)
+        if len(c) == 5 and not c[3] and not c[1] and _tag(c[0]) != tag and (inner := _semantic(c, tag, [*path, c[0]], many)):
+            found.append(inner)
     return max(found, default=None)
 
 
+def _loose(node: list, path: list[str], many: bool) -> int:
+    """Letters beside a path that stand in no container."""
+    total = 0
+    for label in path:
+        total += sum(_weight(c, many) for c in node[4] if len(c) == 2 or _tag(c[0]) not in CONTAINERS)
+        node = next(c for c in node[4] if len(c) == 5 and label in (c[0], _tag(c[0])) and not c[3])
+    return total
+
+
 def template_texts(wrapper: list, path: list[str], pages: int) -> list[str]:
     """Texts inside the element at ``path`` that are the same on all of many different pages."""
     if not _differ(wrapper, pages):
         return []
     node = wrapper
     for label in path:
-        node = next(c for c in node[4] if len(c) == 5 and c[0] == label)
+        node = next(c for c in node[4] if len(c) == 5 and label in (c[0], _tag(c[0])))
     out: list[str] = []
 
     def walk(x: list) -> None:
@@ -279,13 +295,13 @@ def template_texts(wrapper: list, path: list[str], pages: int) -> list[str]:
     return out
 
 
-def read(page: str, path: list[str]) -> str:
-    """Text of the element at ``path``, or of all articles there; empty where the page lacks it."""
-    nodes = [parse(page)]
+def _blocks(root: Node, path: list[str]) -> list[str]:
+    """Texts of the element at ``path``, or of all article or main elements there; none where the page lacks it."""
+    nodes = [root]
     for label in path:
-        # A repeated article is read whole; above it the path is unique.
-        nodes = [c for node in nodes[:1] for c in node[2] if not isinstance(c, str) and c[0] == label and not c[1]]
-    if path and _tag(path[-1]) != "article":
+        # Articles of one place are read whole; above them the path is unique.
+        nodes = [c for node in nodes[:1] for c in node[2] if not isinstance(c, str) and not c[1] and (c[0] == label or (label in ("article", "main") and _tag(c[0]) == label))]
+    if path and path[-1] not in ("article", "main"):
         nodes = nodes[:1]
     parts: list[str] = []
 
@@ -311,14 +327,23 @@ def read(page: str, path: list[str]) -> str:
 
     for node in nodes:
         walk(node)
-    return " ".join(parts)
+    return parts
+
+
+def read(page: str, path: list[str]) -> str:
+    """Text of the element at ``path``; empty where the page lacks it."""
+    return " ".join(_blocks(parse(page), path))
 
 
-def extract(page: str, path: list[str] | None) -> str:
-    """Main text of one page through its host's article path, or through its own wrapper."""
-    if path is not None and (found := read(page, path)):
-        return found
-    return read(page, article_path(fold(parse(page)), 1))
+def extract(page: str, rule: tuple[list[str], frozenset[str]] | None) -> str:
+    """Main text of one page through its host's rule (article path, template texts), or through its own wrapper."""
+    root = parse(page)
+    if rule is not None and (found := _blocks(root, rule[0])):
+        held = sum(map(len, found))
+        # Template texts only tell how much there is to read.
+        if held >= READ_SHARE * max(held, sum(len(b) for b in _blocks(root, []) if b not in rule[1])):
+            return " ".join(found)
+    return " ".join(_blocks(root, article_path(fold(root), 1)))
 
 
 def host(url: str | Column) -> Column:
@@ -387,13 +412,14 @@ def wrappers(pages: DataFrame) -> DataFrame:
 
 
 def rules(found: DataFrame) -> DataFrame:
-    """host and its rule: path of the article (JSON)."""
+    """host and its rule: path of the article and texts of the whole page that are template (JSON)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for wrapper, seen in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                out.append(json.dumps(article_path(json.loads(wrapper), len(seen)), ensure_ascii=False))
+                tree = json.loads(wrapper)
+                out.append(json.dumps([article_path(tree, len(seen)), template_texts(tree, [], len(seen))], ensure_ascii=False))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["host", "rule"])
 
     return found.select("host", "wrapper", "pages").mapInArrow(run, "host string, rule string")
@@ -405,7 +431,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     frame = pages.select("page_id", "url", "html").withColumn("host", host("url")).join(learned, "host", "left").select("page_id", "url", "html", "rule")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list] = {}
+        known: dict[str, tuple] = {}
         for batch in batches:
             for begin in range(0, batch.num_rows, 200):
                 part = batch.slice(begin, 200)
@@ -414,7 +440,8 @@ def main_text(pages: DataFrame) -> DataFrame:
                     if rule is not None and rule not in known:
                         if len(known) > 10_000:
                             known.clear()
-                        known[rule] = json.loads(rule)
+                        path, template = json.loads(rule)
+                        known[rule] = path, frozenset(template)
                     texts.append(extract(page or "", known.get(rule)))
                 arrays = [part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
                 yield pa.RecordBatch.from_arrays(arrays, names=["page_id", "url", "text", "n_chars"])

@@ -126,3 +126,34 @@ def test_article_text_stays_whole_on_a_host_of_near_copies(spark, count):
         rows += [(f"{name} {i}", f"https://{name}.example/{i}", page.format(says(i if name == "versions" else i == 0)), f"T a1 S {says(i if name == 'versions' else i == 0)}") for i in range(count)]
     frame = spark.createDataFrame([r[:3] for r in rows], "page_id string, url string, html string")
     assert {r.page_id: r.text for r in wrappers.main_text(frame).collect()} == {r[0]: r[3] for r in rows}
+
+
+def say(count, word):
+    return " ".join(f"{word}{k}" for k in range(count)) + "."
+
+
+SPLIT = {
+    "lead and story": (f"<div class=lead><p>{say(40, 'lead')}</p></div><div class=story><p>{say(60, 'story')}</p></div>", f"{say(40, 'lead')} {say(60, 'story')}"),
+    "continued": (f"<article><p>{say(55, 'a')}</p></article><section class=continued><p>{say(45, 'a')}</p></section>", f"{say(55, 'a')} {say(45, 'a')}"),
+    "three levels": (
+        f"<div class=x><div class=y><div class=z><p>{say(70, 'z')}</p></div><div class=w><p>{say(30, 'z')}</p></div></div><div class=v><p>{say(30, 'z')}</p></div></div>",
+        f"{say(70, 'z')} {say(30, 'z')} {say(30, 'z')}",
+    ),
+    "labelled articles": (f"<div><article class=first><p>{say(30, 'a')}</p></article><article class=second><p>{say(20, 'b')}</p></article></div><div class=rest>of it</div>", f"{say(30, 'a')} {say(20, 'b')}"),
+}
+
+
+@pytest.mark.parametrize("name", SPLIT)
+def test_split_containers_are_read_whole(name):
+    inner, want = SPLIT[name]
+    page = f"<html><body><nav>Home</nav>{inner}<div class=footer>end</div></body></html>"
+    assert wrappers.extract(page, None) == want
+    assert wrappers.extract(page, (wrappers.article_path(wrappers.fold(wrappers.parse(page)), 1), frozenset())) == want
+
+
+def test_page_of_another_layout_is_read_by_its_own_wrapper(spark):
+    rows = [(i, f"https://www.site.example/{i}", f"<body><div class=story><p>{say(50, f'w{i}x')}</p></div></body>", say(50, f"w{i}x")) for i in range(9)]
+    other = f"<body><div class=story><p>{say(15, 'short')}</p></div><section class=report><p>{say(60, 'long')}</p></section></body>"
+    rows.append((9, "https://www.site.example/9", other, f"{say(15, 'short')} {say(60, 'long')}"))
+    frame = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in wrappers.main_text(frame).collect()} == {r[0]: r[3] for r in rows}
