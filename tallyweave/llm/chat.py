@@ -122,18 +122,18 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
 
 def turn_messages(conversations: DataFrame) -> DataFrame:
-    """Conversations (conv_id, turn, role, text) as messages: each turn answers the turn before.
+    """Conversations (conv_id, turn, role, text) as messages: each row answers the row before.
 
-    Rows of one turn are alternatives; the next turn answers the first of them.
+    Rows that share a turn follow each other: system, user, other roles by name, assistant, then by text. Of equal rows one stays.
     """
-    own = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
-    rows = conversations.select("conv_id", "turn", "role", "text").distinct().withColumn("choice", F.row_number().over(own))
-    turns = rows.where("choice = 1").select("conv_id", "turn")
-    before = turns.withColumn("before", F.lag(F.struct("turn")).over(Window.partitionBy("conv_id").orderBy("turn")))
-    joined = _meet(rows, before, {"conv_id": "conv_id", "turn": "turn"})
-    parent = F.when(F.col("b.before").isNotNull(), F.struct(F.col("b.before.turn").alias("turn"), F.lit(1).alias("choice")))
+    speaks = F.when(F.col("role") == "system", 0).when(F.col("role") == "user", 1).when(F.col("role") == ASSISTANT, 3).otherwise(2)
+    own = Window.partitionBy("conv_id", "turn").orderBy(speaks, "role", "text")
+    rows = conversations.select("conv_id", "turn", "role", "text").distinct().withColumn("place", F.row_number().over(own))
+    order = Window.partitionBy("conv_id").orderBy("turn", "place")
+    before = rows.select("conv_id", "turn", "place").withColumn("before", F.lag(F.struct("turn", "place")).over(order))
+    joined = _meet(rows, before, {"conv_id": "conv_id", "turn": "turn", "place": "place"})
     return joined.select(
-        F.col("a.conv_id").alias("tree"), F.struct(F.col("a.turn"), F.col("a.choice")).alias("id"), parent.alias("parent"), "a.role", "a.text", F.lit(0.0).alias("score")
+        F.col("a.conv_id").alias("tree"), F.struct(F.col("a.turn"), F.col("a.place")).alias("id"), F.col("b.before").alias("parent"), "a.role", "a.text", F.lit(0.0).alias("score")
     )
 
 

@@ -150,3 +150,16 @@ def test_reply_trees_equal_brute_force(spark, branches):
             mine = sorted((r.place, r.text) for r in got if r.tree == tree and r["rank"] == rank)
             assert mine == [(k, r[4]) for k, r in enumerate(path)]
     assert not [r for r in got if r.tree == "circle"]
+
+
+def test_rows_that_share_a_turn_all_stay(spark):
+    rows = [(1, 0, "system", "s"), (1, 1, "assistant", "hi"), (1, 1, "user", "hello"), (1, 2, "assistant", "b"), (1, 2, "tool", "t"), (1, 2, "user", "z"), (1, 2, "user", "a"), (1, 2, None, "n"), (2, None, "user", "x"), (2, None, "assistant", "y")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    want = {1: ["system s", "user hello", "assistant hi", "user a", "user z", " n", "tool t", "assistant b"], 2: ["user x", "assistant y"]}
+    got = {r.conv_id: r for r in chat.digests(frame).collect()}
+    assert set(got) == set(want)
+    for conv, lines in want.items():
+        turns = "".join(line.replace(" ", "\n", 1) + "\n" for line in lines)
+        assert got[conv].n_turns == len(lines)
+        assert got[conv].turns_sha256 == hashlib.sha256(turns.encode()).hexdigest()
+        assert got[conv].loss_chars == sum(len(line.split(" ", 1)[1]) for line in lines if line.startswith("assistant"))
