@@ -26,9 +26,10 @@ _DESIGN_SQL = """
 
 def _design(t):
     frame = t.customer.groupBy(*_BY).agg(F.count(F.lit(1)).cast("double").alias("BIL_ISI_RUMAH"))
-    buyers = t.orders.filter("o_totalprice > 400000").select("o_custkey")
-    joined = buyers.join(t.customer.select("c_custkey", *_BY), F.col("o_custkey") == F.col("c_custkey"))
-    counts = stage(cells.responding_counts(joined, ["o_custkey"], _BY), "counts")
+    # All orders are counted, those below the threshold apart.
+    answered = (F.col("o_totalprice") > 400000).alias("answered")
+    joined = t.orders.select("o_custkey", answered).join(t.customer.select("c_custkey", *_BY), F.col("o_custkey") == F.col("c_custkey"))
+    counts = stage(cells.responding_counts(joined, ["o_custkey"], [*_BY, "answered"]), "counts").filter("answered").drop("answered")
     return weights.design_weight(stage(frame, "frame"), counts, by=_BY, state="c_nationkey")
 
 
@@ -156,8 +157,8 @@ def noncitizen_cells(t):
 )
 def population_factor(t):
     people = cells.weighted_cells(t.customer, _BY, "c_acctbal", name="POPULATION")
-    joined = t.orders.filter("o_totalprice > 450000").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    sample = cells.weighted_cells(joined, _BY, "o_totalprice")
+    joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    sample = cells.weighted_cells(joined.withColumn("o_totalprice", F.when(F.col("o_totalprice") > 450000, F.col("o_totalprice"))), _BY, "o_totalprice")
     factors = weights.population_factor(people, sample, _BY)
     return factors.select(
         F.col("c_nationkey").cast("long").alias("nation"),
@@ -180,8 +181,10 @@ def population_factor(t):
 )
 def attach_factor_once(t):
     mean = F.rint(F.avg(F.rint(F.col("s_acctbal") * 100).cast("long")) / 100)
-    factor = t.supplier.filter("s_acctbal > 2000").groupBy(F.col("s_nationkey").alias("c_nationkey")).agg(
-        F.when(F.count(F.lit(1)) > 1, mean).otherwise(0.0).alias("POPFAC")
+    supplier = t.supplier.withColumn("s_acctbal", F.when(F.col("s_acctbal") > 2000, F.col("s_acctbal")))
+    # Null where no supplier of the nation counts, which attach_factor reads as no factor.
+    factor = supplier.groupBy(F.col("s_nationkey").alias("c_nationkey")).agg(
+        F.when(F.count("s_acctbal") > 1, mean).when(F.count("s_acctbal") == 1, 0.0).alias("POPFAC")
     )
     found = weights.attach_factor(t.customer, stage(factor, "factors"), ["c_nationkey"])
     made = weights.first_weight(found.withColumnRenamed("c_acctbal", "ADJUSTED_WEIGHT"))
@@ -286,8 +289,9 @@ _BLANK_SQL = """
 )
 def redistribute_blank(t):
     people = t.customer.groupBy(*_BY).agg((F.count(F.lit(1)) * 10).cast("double").alias("POPULATION"))
-    joined = t.orders.filter("o_totalprice > 490000").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    sample = stage(joined.groupBy(*_BY).agg(F.countDistinct("o_custkey").cast("double").alias("SAMPLE")), "sample")
+    joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    buyers = F.countDistinct(F.when(F.col("o_totalprice") > 490000, F.col("o_custkey")))
+    sample = stage(joined.groupBy(*_BY).agg(F.nullif(buyers, F.lit(0)).cast("double").alias("SAMPLE")), "sample")
     moved = weights.redistribute_blank(lookup(people, sample, _BY), ["c_nationkey"])
     moved = moved.withColumnRenamed("POPULATION", "BEFORE").withColumnRenamed("POPULATION_ADJUSTED", "POPULATION")
     factors = weights.population_factor(moved.drop("SAMPLE"), sample, _BY, missing=None)

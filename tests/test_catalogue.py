@@ -29,3 +29,16 @@ def test_query_equals_sql(spark, db, name):
 def test_entry(spark):
     result = contract.entry(spark)
     assert result.count() > 0 and "final" in result.columns
+
+
+@pytest.mark.parametrize("name", ["design_weight", "weight_check", "attach_weight", "population_factor", "redistribute_blank", "attach_factor_once"])
+def test_weighting_reads_every_row(spark, name, monkeypatch):
+    """No query of the weights thins its table by price or balance."""
+    from tallyweave.catalogue import weighting
+
+    seen, real = [], weighting.stage
+    monkeypatch.setattr(weighting, "stage", lambda df, name: seen.append(df) or real(df, name))
+    plans = [contract.queries()[name](spark, FOLDER), *seen]
+    text = "\n".join(df._jdf.queryExecution().optimizedPlan().toString() for df in plans)
+    filters = [line for line in text.splitlines() if line.strip(" :+-").startswith("Filter")]
+    assert not [f for f in filters if "o_totalprice" in f or "s_acctbal" in f]
