@@ -6,7 +6,12 @@ templates below, cut, shortened and garbled at random, and on a bounded sample
 of the corpus's own paragraphs as unknown ones. A temperature fitted on a part
 kept out of training calibrates the probabilities. A paragraph is given a family
 if its probability is at least ``LEAST`` and one of the family's templates shares
-at least ``OVERLAP`` of its word pairs with it.
+at least ``OVERLAP`` of its word pairs with it. Runs of lines up to a line without words
+are read as one text as well: wherever a template shares that much with a stretch
+of a run, the classifier judges the matched words, and what a confirmed family
+explains is taken away before the next, so wrapped statements and several
+families of one line are found. A finding counts once in its run; a line that is
+part of another family's wrapped statement is none of its own.
 
 Nulls: a null text counts as empty and has no licence. Long paragraphs are read
 whole: only n-grams that the templates hold count, so length does not thin them
@@ -17,6 +22,7 @@ results; extra columns are dropped.
 from __future__ import annotations
 
 import random
+from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -93,23 +99,35 @@ _FOLD[0x80:] = np.arange(0x80, 0x100)
 _FOLD[10] = 10
 
 
-def ngrams(array: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Paragraph numbers (rising over all texts), hashes and sizes of their word n-grams, and each paragraph's text number."""
+def _worded(array: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, line (counted over all texts) and text number of every word."""
     data, offsets = bytetext.utf8(array)
     plain = _FOLD[data]
     starts, ends, owner = bytetext.word_spans(plain, offsets)
     lines = np.cumsum(np.concatenate([[0], plain == 10]))
+    words = bytetext.SpanHashes(plain).of(starts, ends) if len(starts) else np.zeros(0, np.uint64)
+    return words, lines[starts], owner
+
+
+def _grams(words: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` words from each word on."""
+    hashes = np.full(max(0, len(words) - size + 1), size, np.uint64)
+    for k in range(size):
+        hashes = bytetext.mix(hashes + words[k : k + len(hashes)], 900 + k)
+    return hashes
+
+
+def ngrams(array: pa.Array, worded: tuple | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Paragraph numbers (rising over all texts), hashes and sizes of their word n-grams, and each paragraph's text number."""
+    words, lines, owner = worded or _worded(array)
     # A new paragraph at every text and every line feed.
-    line = lines[starts] + owner
+    line = lines + owner
     number = np.cumsum(np.concatenate([[True], line[1:] != line[:-1]])) - 1 if len(line) else line
-    words = bytetext.SpanHashes(plain).of(starts, ends) if len(starts) else np.zeros(0, np.uint64)
     owners, found, sizes = [], [], []
     for size in SIZES:
         if len(words) < size:
             continue
-        hashes = np.full(len(words) - size + 1, size, np.uint64)
-        for k in range(size):
-            hashes = bytetext.mix(hashes + words[k : k + len(hashes)], 900 + k)
+        hashes = _grams(words, size)
         inside = number[: len(hashes)] == number[size - 1 :]
         owners.append(number[: len(hashes)][inside])
         found.append(hashes[inside])
@@ -138,6 +156,7 @@ class LicenceModel:
     bias: np.ndarray
     temperature: float
     pairs: list[tuple[int, np.ndarray]]  # class and sorted word-pair hashes of each template
+    words: dict[int, int]  # class of the words that only one class's templates hold, 0 of others
 
     def known(self, owner: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct (paragraph, n-gram number) pairs of n-grams that the templates hold."""
@@ -151,8 +170,103 @@ class LicenceModel:
         return sums + self.bias
 
     def paragraphs(self, array: pa.Array) -> list[tuple[int, str, float]]:
-        """(text number, family, probability) of every confirmed paragraph."""
-        owner, found, sizes, text = ngrams(array)
+        """(text number, family, probability) of every confirmed paragraph, and of every other family of a run of lines."""
+        worded = _worded(array)
+        words, lines, texts = worded
+        if not len(words):
+            return []
+        out = self._lines(array, worded)
+        run = np.cumsum(np.concatenate([[True], (lines[1:] - lines[:-1] > 1) | (texts[1:] != texts[:-1])])) - 1
+        line = lines + texts
+        first = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
+        runs, wrapped = self._runs(words, run, line)
+        named = {(r, family) for r, _, family, _ in runs}
+        own = [(int(run[first[n]]), int(line[first[n]]), x) for n, *x in out]
+        kept = [(r, x) for r, at, x in own if at not in wrapped or (r, x[1]) in named]
+        taken = {(r, x[1]) for r, x in kept}
+        return [tuple(x) for _, x in kept] + [(int(texts[i]), family, chance) for r, i, family, chance in runs if (r, family) not in taken]
+
+    def _runs(self, words: np.ndarray, run: np.ndarray, line: np.ndarray) -> tuple[list[tuple[int, int, str, float]], set[int]]:
+        """(run, word, family, probability) of every family of a run, and the lines of statements over several lines."""
+        holders: dict[int, list[int]] = {}
+        for t, (_, pairs) in enumerate(self.pairs):
+            for h in pairs.tolist():
+                holders.setdefault(h, []).append(t)
+        pair = _grams(words, 2)
+        hits = np.flatnonzero((run[1:] == run[:-1]) & np.isin(pair, np.array(list(holders), np.uint64)))
+        out: dict[tuple[int, str], tuple] = {}
+        wrapped: set[int] = set()
+        cuts = np.flatnonzero(np.diff(run[hits])) + 1
+        for part in np.split(hits, cuts):
+            if len(part) < 2:
+                continue
+            places: dict[int, list[tuple[int, int]]] = {}
+            for i, h in zip(part.tolist(), pair[part].tolist(), strict=True):
+                for t in holders[h]:
+                    places.setdefault(t, []).append((i, h))
+            walls: list[int] = []
+            while found := max((x for t in places if (x := self._stretch(t, places[t], walls))), default=None):
+                _, _, minus, at = found
+                kind = self.pairs[-minus][0]
+                chance = self._judge(words, at, kind)
+                used = set(at)
+                if chance.argmax() == kind and chance[kind] >= LEAST:
+                    name, where = self.families[kind - 1], int(run[at[0]])
+                    out.setdefault((where, name), (where, at[0], name, float(chance[kind])))
+                    over = set(line[sorted({w for i in at for w in (i, i + 1)})].tolist())
+                    wrapped |= over if len(over) > 1 else set()
+                    walls = sorted({*walls, *at})
+                    places = {t: [x for x in own if x[0] not in used] for t, own in places.items()}
+                else:
+                    places[-minus] = [x for x in places[-minus] if x[0] not in used]
+        return list(out.values()), wrapped
+
+    def _stretch(self, template: int, own: list[tuple[int, int]], walls: list[int]) -> tuple[float, int, int, list[int]] | None:
+        """Share and number of a template's pairs in the stretch between walls that holds most of them, if enough, and where they stand."""
+        size = len(self.pairs[template][1])
+        if len({h for _, h in own}) < OVERLAP * size:
+            return None
+        best, begin, count = (0, 0, 0), 0, {}
+        for end, (i, h) in enumerate(own):
+            count[h] = count.get(h, 0) + 1
+            wall = bisect(walls, i)
+            while i - own[begin][0] > 2 * size + 2 or bisect(walls, own[begin][0]) != wall:
+                old = own[begin][1]
+                count[old] -= 1
+                if not count[old]:
+                    del count[old]
+                begin += 1
+            best = max(best, (len(count), begin - end, end))
+        if best[0] < OVERLAP * size:
+            return None
+        return best[0] / size, best[0], -template, [i for i, _ in own[best[2] + best[1] : best[2] + 1]]
+
+    def _judge(self, words: np.ndarray, at: list[int], kind: int) -> np.ndarray:
+        """Probabilities of the words of the pairs at these places; all 0 if a single word between them is another family's alone."""
+        begin = at[0]
+        inside = np.zeros(at[-1] + 2 - begin, bool)
+        for i in at:
+            inside[i - begin : i - begin + 2] = True
+        own = words[begin : at[-1] + 2]
+        between = np.flatnonzero(~inside[1:-1] & inside[:-2] & inside[2:]) + 1
+        for h in _grams(own[between], 1).tolist():
+            if self.words.get(h, kind) not in (kind, 0):
+                return np.zeros(len(self.bias))
+        inside[between] = True
+        found = []
+        for size in SIZES:
+            grams = _grams(own, size)
+            whole = np.ones(len(grams), bool)
+            for k in range(size):
+                whole &= inside[k : k + len(grams)]
+            found.append(grams[whole])
+        found = np.concatenate(found)
+        _, gram = self.known(np.zeros(len(found), np.int64), found)
+        return _softmax(self.scores(np.zeros(len(gram), np.int64), gram, 1) / self.temperature)[0]
+
+    def _lines(self, array: pa.Array, worded: tuple) -> list[tuple[int, int, str, float]]:
+        """(paragraph, text number, family, probability) of every confirmed line."""
+        owner, found, sizes, text = ngrams(array, worded)
         if not len(found):
             return []
         row, gram = self.known(owner, found)
@@ -171,7 +285,7 @@ class LicenceModel:
         for i in np.flatnonzero((best > 0) & (chance.max(axis=1) >= LEAST)):
             own = found[order[bounds[i] : bounds[i + len(where)]]]
             if any(c == best[i] and np.isin(pairs, own).mean() >= OVERLAP for c, pairs in self.pairs):
-                out.append((int(text[where[i]]), self.families[best[i] - 1], float(chance[i, best[i]])))
+                out.append((int(where[i]), int(text[where[i]]), self.families[best[i] - 1], float(chance[i, best[i]])))
         return out
 
 
@@ -236,7 +350,11 @@ def fit(negatives: list[str]) -> LicenceModel:
     owners = [k for k, n in enumerate(families, 1) for _ in TEMPLATES[n]]
     for i, k in enumerate(owners):
         pairs.append((k, np.unique(found[(owner == i) & (sizes == 2)])))
-    model = LicenceModel(families, grams, np.zeros((len(grams), len(families) + 1)), np.zeros(len(families) + 1), 1.0, pairs)
+    alone: dict[int, int] = {}
+    for i, h in zip(owner[sizes == 1].tolist(), found[sizes == 1].tolist(), strict=True):
+        k = owners[i] if i < len(owners) else 0
+        alone[h] = k if alone.get(h, k) == k else 0
+    model = LicenceModel(families, grams, np.zeros((len(grams), len(families) + 1)), np.zeros(len(families) + 1), 1.0, pairs, alone)
     lines = sorted({line for t in negatives for line in t.split("\n") if line.strip()})
     if lines:
         owner, found, sizes, number = ngrams(_strings(lines))

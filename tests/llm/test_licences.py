@@ -68,3 +68,22 @@ def test_ngrams_equal_brute_force():
     same = {(int(o), int(s)): set(found[(owner == o) & (sizes == s)].tolist()) for o in range(len(lines)) for s in licences.SIZES}
     assert same[0, 2] == same[2, 2] and not same[0, 2] & same[1, 2]
     assert np.unique(found[sizes == 1]).size == 6
+
+
+MIT = """// Permission is hereby granted, free of charge, to any person obtaining a copy
+// of this software and associated documentation files (the "Software"), to deal
+// in the Software without restriction, including without limitation the rights"""
+GPL = """ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version {} of the License, or
+ * (at your option) any later version."""
+
+
+def test_wrapped_and_dual_statements(model):
+    assert families(model, f"code\n\n{MIT}\n\nmore", GPL.format(3), GPL.format(2).replace("software:", "software;").replace("Foundation,", "Foundation;")) == [["MIT"], ["GPL-3.0"], ["GPL-2.0"]]
+    assert families(model, "licensed under the MIT license or the Apache License, Version 2.0") == [["Apache-2.0", "MIT"]]
+    assert families(model, f"{MIT}\n//\n{GPL.format(3)}") == [["GPL-3.0", "MIT"]]
+    agpl = GPL.format(3).replace("GNU General", "GNU Affero General")
+    assert families(model, agpl) == [["AGPL-3.0"]]
+    # A line without words ends the run.
+    assert families(model, "Permission is hereby granted, free of charge\n\nto any person\n\nobtaining a copy of the letter") == [[]]
