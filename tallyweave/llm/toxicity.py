@@ -2,7 +2,8 @@
 
 1. ``letter_model`` counts pairs of letters over all texts: the language model.
 2. ``restore`` finds spans that look disguised: digits or signs inside words,
-   letters three times in a row, letters set apart by spaces or points. Every
+   signs at either end of a word, letters three times in a row, letters set
+   apart by spaces, line feeds or points. Every
    character of such a span stands for one of several letters, for itself or for
    nothing, at a channel cost; the best path through this lattice under the
    language model (Viterbi, all spans of a chunk at once) replaces the span.
@@ -36,7 +37,7 @@ LEET = {
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "*": "aeiou",
 }
 #: Signs that may be put between letters.
-BETWEEN = " .-_*'~,"
+BETWEEN = " .-_*'~,\n"
 
 #: Channel costs in nats: a sign read as a letter, a repeated letter or a sign between letters dropped, a sign kept.
 SIGN_COST, REPEAT_COST, BETWEEN_COST, KEEP_COST = 1.0, 0.7, 0.3, 6.0
@@ -56,15 +57,17 @@ _L = "a-zß-öø-ÿ"
 _SIGNS = re.escape("".join(LEET))
 _FOLD = {c: c + 32 for c in (*range(65, 91), *range(0xC0, 0xD7), *range(0xD8, 0xDF))}
 
-#: A disguised word: a sign among letters, a letter three times, or single letters set apart.
+#: Between letters set apart: a sign, or several white spaces and signs with white space around them.
+_APART = rf"(?:[ .\-_*~,'\n]|[ \n]{{1,3}}[.\-_*~,'][ \n]{{1,3}}|[ \n]{{2,3}}|[.\-_*~,']{{2,3}})"
+#: A disguised word: a sign among or beside letters, a letter three times, or single letters set apart by one kind of gap.
 _SPAN = re.compile(
     rf"(?<![{_L}0-9])(?:"
-    rf"[{_L}](?:([ .\-_*~,'])[{_L}{_SIGNS}](?![{_L}0-9])){{2,}}"
-    rf"|[{_SIGNS}]?(?=[{_L}{_SIGNS}]*(?:[{_L}][{_SIGNS}]+[{_L}]|([{_L}])\2\2|[0-9@$][{_L}]))[{_L}{_SIGNS}]*[{_L}0-9@$]"
+    rf"[{_L}](?:(?P<gap>{_APART})[{_L}{_SIGNS}](?![{_L}0-9])(?:(?P=gap)[{_L}{_SIGNS}](?![{_L}0-9]))+)"
+    rf"|[{_SIGNS}]?(?=[{_L}{_SIGNS}]*(?:[{_L}][{_SIGNS}]+[{_L}]|([{_L}])\2\2|[{_SIGNS}][{_L}]|[{_L}][0-9@$]))[{_L}{_SIGNS}]*[{_L}0-9@$]"
     rf")(?![{_L}0-9])"
 )
 #: Cheap test whether a text can hold a span.
-_HINT = re.compile(rf"[{_L}][{_SIGNS}]+[{_L}]|([{_L}])\1\1|[0-9@$][{_L}]|(?<![{_L}0-9])[{_L}][ .\-_*~,'][{_L}{_SIGNS}][ .\-_*~,'][{_L}{_SIGNS}](?![{_L}0-9])")
+_HINT = re.compile(rf"[{_L}][{_SIGNS}]+[{_L}]|([{_L}])\1\1|[{_SIGNS}][{_L}]|[{_L}][0-9@$]|(?<![{_L}0-9])[{_L}](?P<gap>{_APART})[{_L}{_SIGNS}](?P=gap)[{_L}{_SIGNS}](?![{_L}0-9])")
 
 
 def _symbols(data: np.ndarray) -> np.ndarray:

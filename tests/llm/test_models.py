@@ -128,3 +128,8 @@ def test_quality_on_unseen_documents(spark):
     truth = np.array([rest[r.doc_id] >= 1 for r in rows]).astype(int)
     assert ranks_right(np.array([r.tail_probability for r in rows]), truth) > 0.97
     assert np.mean([r.kept for r, t in zip(rows, truth, strict=True) if t]) > 0.98
+
+
+def test_restores_signs_at_ends_and_wide_gaps(letters):
+    cases = ["you !diot", "|diot", "idi07", "i - d - i - o - t", "i  d  i  o  t", "i\nd\ni\no\nt", "what a lo$er", "a m0r0n", "los3r", "people will all feel well", "from 1999 to 2020, 50% of a b"]
+    assert toxicity.restore(cases, letters) == ["you idiot", "idiot", "idiot", "idiot", "idiot", "idiot", "what a loser", "a moron", "loser", "people will all feel well", "from 1999 to 2020, 50% of a b"]
