@@ -95,6 +95,13 @@ def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
     return licences.scan(documents, licences.train(documents))
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links of two tokenizers' tokens over every document; see ``alignment``."""
+    from tallyweave.llm import alignment
+
+    return alignment.digests(table(spark, folder, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
@@ -106,4 +113,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_token_files": op9_token_files,
     "op10_licences": op10_licences,
+    "op11_alignment": op11_alignment,
 }
