@@ -102,6 +102,20 @@ def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.digests(table(spark, folder, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
 
 
+def op12_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate groups of all vectors of a label; see ``itq``."""
+    from tallyweave.llm import itq
+
+    return itq.near_vectors(table(spark, folder, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every anchor and positive among all vectors; see ``angular``."""
+    from tallyweave.llm import angular
+
+    return angular.hard_negatives(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
@@ -114,4 +128,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_licences": op10_licences,
     "op11_alignment": op11_alignment,
+    "op12_near_vectors": op12_near_vectors,
+    "op13_hard_negatives": op13_hard_negatives,
 }
