@@ -50,7 +50,7 @@ RANGE_BYTES = 1 << 16
 #: Neighbouring fragments composed in one step of the tree.
 FAN_IN = 32
 #: Distinct runs a worker keeps aligned, and bytes of their groups; beyond either the store starts anew.
-STORE_RUNS, STORE_BYTES = 400_000, 1 << 26
+STORE_RUNS, STORE_BYTES = 100_000, 1 << 24
 
 #: Both tokenizers begin anew at a single space between other characters.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
