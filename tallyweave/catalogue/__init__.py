@@ -1,4 +1,4 @@
-from tallyweave.catalogue import classes, counts, fields, jobs, reshape, tables, weighting
+from tallyweave.catalogue import checks, classes, counts, fields, jobs, reshape, stores, tables, weighting
 from tallyweave.catalogue.registry import QUERIES, Query
 
-__all__ = ["QUERIES", "Query", "classes", "counts", "fields", "jobs", "reshape", "tables", "weighting"]
+__all__ = ["QUERIES", "Query", "checks", "classes", "counts", "fields", "jobs", "reshape", "stores", "tables", "weighting"]

@@ -1,5 +1,7 @@
 """The whole jobs over the driver tables, with the survey inputs derived from them."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallyweave import config
@@ -7,8 +9,8 @@ from tallyweave.catalogue.registry import query
 from tallyweave.operators.audits import sole_value
 from tallyweave.operators.cells import factor_columns, population_cells, region_master
 from tallyweave.operators.headers import sanitize_columns, verify_headers
-from tallyweave.plans import clean_establishments, roll_up, transfer_individual_weights, weight_household
-from tallyweave.session import stage
+from tallyweave.plans import build_state, clean_establishments, merge_states, roll_up, save_state, transfer_individual_weights, weigh_state, weight_household
+from tallyweave.session import run_folder, stage
 
 # Orders as persons, their customers as households. Valid in both SQL dialects.
 PEOPLE = """
@@ -191,6 +193,21 @@ def rolled_up_finals(t):
     return _report(roll_up(finals, *templates, kind="halfyear", order="SRC", record_id="PERSON"))
 
 
+@query("P15 P3", _household_sql("year(o_orderdate), quarter(o_orderdate), o_orderkey"))
+def merged_periods(t):
+    """Four quarters (of all years) as stored states, merged two by two, stored, merged again and weighted."""
+    people, *templates = _inputs(t)
+    dated = people.drop("_ord").withColumns({"YEARS": F.year("o_orderdate"), "QUARTER": F.quarter("o_orderdate"), "src": F.col("o_orderkey")})
+    dated = dated.drop("o_orderkey", "o_orderstatus", "o_orderdate")
+    database = f"states_{uuid.uuid4().hex[:12]}"
+    t.spark.sql(f"CREATE DATABASE {database} LOCATION '{run_folder(t.spark)}/{database}'")
+    quarters = [build_state(dated.filter(f"QUARTER = {q}"), f"q{q}", database, order="src", buckets=8) for q in (1, 2, 3, 4)]
+    first, second = (save_state(merge_states(quarters[i : i + 2]), n, database, buckets=8) for i, n in ((0, "h1"), (2, "h2")))
+    done = stage(_report(weigh_state(merge_states([second, first]), *templates, record_id="PERSON")), "merged")
+    t.spark.sql(f"DROP DATABASE {database} CASCADE")
+    return done
+
+
 _CELLS_SQL = f"""bands as ({_plain(BANDS)}), columns(i, grp, region) as (values {_COLUMN_ROWS}),
     cells as (select bands.NG as ng, ku_5::bigint as ku_5, 1 + female as j, grp, region, (n * (i + 3))::double as people
               from bands join columns on region = {_REGION.replace("ng", "bands.ng", 3)})"""

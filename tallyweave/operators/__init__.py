@@ -2,6 +2,7 @@ from tallyweave.operators import (
     audits,
     cells,
     classify,
+    consistency,
     dedupe,
     headers,
     joins,
@@ -18,6 +19,7 @@ __all__ = [
     "audits",
     "cells",
     "classify",
+    "consistency",
     "dedupe",
     "headers",
     "joins",

@@ -65,6 +65,20 @@ def sole_value(df: DataFrame, column: str):
     return low
 
 
+def sole_row(df: DataFrame, column: str) -> DataFrame:
+    """:func:`sole_value` as one row of a plan: running it fails if the column holds two values."""
+    low, high = F.min(_c(column)), F.max(_c(column))
+    message = F.concat(F.lit(f"{column} holds more than one value: "), F.concat_ws(", ", low.cast("string"), high.cast("string")))
+    return df.agg(F.when(low.eqNullSafe(high), low).otherwise(F.raise_error(message)).alias(column))
+
+
+def sole_values(df: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
+    """The one value of each group (``value``), null where it has ``several`` or none; nulls count as no value."""
+    low, high = F.min(_c(column)), F.max(_c(column))
+    several = F.coalesce(low != high, F.lit(False))
+    return df.groupBy(*[_c(k) for k in by]).agg(F.when(~several, low).alias("value"), several.alias("several"))
+
+
 def reconcile(df: DataFrame, derived: Mapping[str, Sequence[str]]) -> DataFrame:
     """(column, derived_sum, input_sum, matches) for each derived total, in one pass.
 

@@ -86,6 +86,22 @@ def verify_headers(spark: SparkSession, before: Sequence[str], mapping: Sequence
     return spark.createDataFrame(rows, "source string, target string, status string")
 
 
+def header_rows_report(given: DataFrame, mapping: Sequence[tuple[str, str]], file: str = "file") -> DataFrame:
+    """Headers of files, one row each (``file``, ``header``), against a mapping of old to new names.
+
+    Every mapped name is looked for in every file: (file, source, target, status)
+    with status mapped, missing or extra. Repeated headers of a file are reported once.
+    """
+    names = given.select(F.col(file).alias("_file"), F.col("header")).distinct()
+    wanted = F.array(*[F.struct(F.lit(a).alias("source"), F.lit(b).alias("target")) for a, b in dict.fromkeys(mapping)])
+    held = names.groupBy("_file").agg(F.collect_set("header").alias("_have"))
+    found = held.select(F.col("_file").alias(file), "_have", F.explode(wanted).alias("w"))
+    status = F.when(F.array_contains("_have", F.col("w.source")), "mapped").otherwise("missing")
+    out = found.select(file, "w.source", "w.target", status.alias("status"))
+    extra = names.filter(~F.col("header").isin([a for a, _ in mapping]))
+    return out.union(extra.select(F.col("_file"), "header", F.lit(None).cast("string"), F.lit("extra")))
+
+
 def move_columns(df: DataFrame, positions: Mapping[str, int]) -> DataFrame:
     """Take the named columns out, then insert each at its position, in the given order."""
     names = [c for c in df.columns if c not in positions]

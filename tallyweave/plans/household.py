@@ -108,6 +108,73 @@ def weight_household(
 
     # One shuffle on the response key serves the counts and the first marks.
     responses = stage(dedupe.key_summary(people, config.RESPONSE_FIELDS, order, cells.STRATUM), "responses")
+    record_id = record_id or next(c for c in people.columns if c != ORDER)
+    grouped = combination_counts(people, record_id)
+    weighed = weigh_combinations(
+        responses, grouped, households, population, controls, crosswalk, semantics=semantics, share_blank_cells=share_blank_cells
+    )
+    out = people.filter(F.col(f"`{record_id}`").isNotNull())
+    out = weighted_records(out, weighed, responses, order, keep_unmatched_controls)
+    if keep_position:
+        out = position_columns(out)
+    out = out.drop("GRP", ORDER)
+    if period:
+        out = stamp(out, **period)
+
+    quality = {
+        "null_classes": lambda: audits.null_audit(people, classify.CLASSES),
+        "id_lengths": lambda: audits.length_audit(people, "NOID_38"),
+        "imputed": lambda: classify.imputation_audit(upper_headers(raw.drop(ORDER))),
+    }
+    return HouseholdWeights(out, QualityTables(quality | weighed.quality()))
+
+
+def combination_counts(people: DataFrame, record_id: str) -> DataFrame:
+    """Records, and records with an ID, of each combination that a weight depends on."""
+    return people.groupBy(*COMBINATION).agg(
+        F.count(F.lit(1)).alias("records"), F.count(f"`{record_id}`").alias("identified")
+    )
+
+
+@dataclass
+class CombinationWeights:
+    """Weights of every combination, and the tables they come from."""
+
+    design: DataFrame
+    factors: DataFrame
+    weighed: DataFrame
+    ratios: DataFrame
+    table: DataFrame
+
+    def quality(self) -> dict[str, Callable[[], DataFrame]]:
+        return {
+            "design_weights": lambda: self.design,
+            "weight_discrepancies": lambda: audits.discrepancies(self.design, "SEMAKAN_AW_BMP"),
+            "unidentified": lambda: self.weighed.agg(F.sum(F.col("records") - F.col("identified")).alias("records")),
+            "strata_without_weight": lambda: self.weighed.filter("ADJUSTED_WEIGHT is null")
+            .groupBy("NG", "RIN_STRATA", "ST")
+            .agg(F.sum("records").alias("records")),
+            "factors": lambda: self.factors,
+            "factor_columns": lambda: cells.factor_columns(self.factors),
+            "master_sem": lambda: cells.region_master(self.factors, "SEM"),
+            "master_sab": lambda: cells.region_master(self.factors, "SAB"),
+            "master_sar": lambda: cells.region_master(self.factors, "SAR"),
+            "ratios": lambda: self.ratios,
+        }
+
+
+def weigh_combinations(
+    responses: DataFrame,
+    grouped: DataFrame,
+    households: DataFrame,
+    population: DataFrame,
+    controls: DataFrame,
+    crosswalk: DataFrame,
+    *,
+    semantics: str = config.DOCUMENTED,
+    share_blank_cells: bool = False,
+) -> CombinationWeights:
+    """All weights, from one row per response key and the counts per combination."""
     counts = cells.count_keys(responses)
     frame = households.select(
         F.col("KOD_NEGERI").try_cast("long").alias("NG"),
@@ -118,10 +185,6 @@ def weight_household(
     design = stage(weights.weight_check(weights.design_weight(frame, counts)), "design")
     spread = weights.spread_weight(design, crosswalk)
 
-    record_id = record_id or next(c for c in people.columns if c != ORDER)
-    grouped = people.groupBy(*COMBINATION).agg(
-        F.count(F.lit(1)).alias("records"), F.count(f"`{record_id}`").alias("identified")
-    )
     combos = lookup(stage(grouped, "combinations"), spread, ["NG", "RIN_STRATA", "ST"])
     combos = combos.withColumn("_sum", F.col("records") * F.col("ADJUSTED_WEIGHT"))
 
@@ -139,40 +202,22 @@ def weight_household(
     )
     estimates = estimates.filter("identified > 0").drop("identified")
     ratios = stage(weights.control_ratios(estimates, _controls(controls), DOMAIN), "ratios")
-
     table = stage(lookup(weighed.drop("records", "identified"), ratios.drop("in_sample"), DOMAIN), "applied")
-    out = people.filter(F.col(f"`{record_id}`").isNotNull()).withColumn("PF_INPUT", response_key())
+    return CombinationWeights(design, factors, weighed, ratios, table)
+
+
+def weighted_records(
+    people: DataFrame, weighed: CombinationWeights, responses: DataFrame, order: str | None, keep_unmatched_controls: bool
+) -> DataFrame:
+    """Records with first marks and final weights; domains of the controls alone follow."""
+    out = people.withColumn("PF_INPUT", response_key())
     if order is not None:
         out = dedupe.mark_positions(out, responses, order)
-    out = lookup(out, table, COMBINATION, null_matches=True)
+    out = lookup(out, weighed.table, COMBINATION, null_matches=True)
     out = out.withColumn("PEMBERAT_FINAL", F.col("WEIGHT_POP") * F.col("PEMBERAT_1"))
     if keep_unmatched_controls:
-        out = out.unionByName(ratios.filter("not in_sample").drop("in_sample"), allowMissingColumns=True)
-    out = out.withColumn("ID_POP", F.concat(F.col("NG").cast("string"), F.col("CIT_NONCIT").cast("string")))
-    if keep_position:
-        out = position_columns(out)
-    out = out.drop("GRP", ORDER)
-    if period:
-        out = stamp(out, **period)
-
-    quality = {
-        "null_classes": lambda: audits.null_audit(people, classify.CLASSES),
-        "id_lengths": lambda: audits.length_audit(people, "NOID_38"),
-        "imputed": lambda: classify.imputation_audit(upper_headers(raw.drop(ORDER))),
-        "design_weights": lambda: design,
-        "weight_discrepancies": lambda: audits.discrepancies(design, "SEMAKAN_AW_BMP"),
-        "unidentified": lambda: weighed.agg(F.sum(F.col("records") - F.col("identified")).alias("records")),
-        "strata_without_weight": lambda: weighed.filter("ADJUSTED_WEIGHT is null")
-        .groupBy("NG", "RIN_STRATA", "ST")
-        .agg(F.sum("records").alias("records")),
-        "factors": lambda: factors,
-        "factor_columns": lambda: cells.factor_columns(factors),
-        "master_sem": lambda: cells.region_master(factors, "SEM"),
-        "master_sab": lambda: cells.region_master(factors, "SAB"),
-        "master_sar": lambda: cells.region_master(factors, "SAR"),
-        "ratios": lambda: ratios,
-    }
-    return HouseholdWeights(out, QualityTables(quality))
+        out = out.unionByName(weighed.ratios.filter("not in_sample").drop("in_sample"), allowMissingColumns=True)
+    return out.withColumn("ID_POP", F.concat(F.col("NG").cast("string"), F.col("CIT_NONCIT").cast("string")))
 
 
 def _controls(controls: DataFrame) -> DataFrame:
