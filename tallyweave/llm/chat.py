@@ -124,11 +124,17 @@ def read_back(formatted: DataFrame) -> DataFrame:
 def turn_messages(conversations: DataFrame) -> DataFrame:
     """Conversations (conv_id, turn, role, text) as messages: each row answers the row before.
 
-    Rows that share a turn follow each other: system, user, other roles by name, assistant, then by text. Of equal rows one stays.
+    Every row is kept. Rows that share a turn follow each other: system, user,
+    other roles by name, assistant, then by text; equal rows one after the other.
+    Null roles and texts are empty ones.
     """
     speaks = F.when(F.col("role") == "system", 0).when(F.col("role") == "user", 1).when(F.col("role") == ASSISTANT, 3).otherwise(2)
-    own = Window.partitionBy("conv_id", "turn").orderBy(speaks, "role", "text")
-    rows = conversations.select("conv_id", "turn", "role", "text").distinct().withColumn("place", F.row_number().over(own))
+    own = Window.partitionBy("conv_id", "turn").orderBy(speaks, "role", "text", "copy")
+    plain = conversations.select("conv_id", "turn", *[F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text")])
+    # Copies of a row are numbered from their count, which combines before the shuffle.
+    copies = plain.groupBy("conv_id", "turn", "role", "text").agg(F.count(F.lit(1)).alias("copies"))
+    copies = copies.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    rows = copies.withColumn("place", F.row_number().over(own)).drop("copies", "copy")
     order = Window.partitionBy("conv_id").orderBy("turn", "place")
     before = rows.select("conv_id", "turn", "place").withColumn("before", F.lag(F.struct("turn", "place")).over(order))
     joined = _meet(rows, before, {"conv_id": "conv_id", "turn": "turn", "place": "place"})

@@ -90,11 +90,12 @@ select d.id as doc_id, p.id as item_id, count(*) as n_shared, p.n_shingles, roun
 from windows d join parts p using (length, shingle) where d.kind = 'd'
 group by d.id, d.text, p.id, p.text, p.n_shingles having count(*) * 100 >= p.n_shingles * 80"""
 
-_CHAT = r"""with rows as (select conv_id, turn, role, coalesce(text, '') as text from conversations
-    union all select -7, t, if(t = 0, 'user', 'assistant'), '\### Assistant: </turn> ok' from range(2) r(t))
-select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
+_CHAT = r"""with given as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -7, t, if(t = 0, 'user', 'assistant'), '\### Assistant: </turn> ok' from range(2) r(t)),
+rows as (select *, case role when 'system' then 0 when 'user' then 1 when 'assistant' then 3 else 2 end as speaks from given)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, speaks, role, text)) as turns_sha256,
     coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
-    sha256(coalesce(string_agg(text, '' order by turn) filter (role = 'assistant'), '')) as loss_sha256,
+    sha256(coalesce(string_agg(text, '' order by turn, speaks, role, text) filter (role = 'assistant'), '')) as loss_sha256,
     sum(4 + length(role) + 1 + length(replace(replace(replace(text, '\', '\\'), '</turn>', '<\/turn>'), '###', '\###')) + 8)::bigint as formatted_chars
 from rows group by conv_id"""
 

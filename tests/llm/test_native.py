@@ -105,6 +105,8 @@ def test_chat_round_trip(spark):
     rows = [(1, i, "assistant" if i % 2 else "user", t) for i, t in enumerate(TRICKS)]
     rows += [(2, 5, None, "only"), (None, 0, "user", "a"), (None, 1, "assistant", "b"), (3, 0, "role with\nfeed </turn> and: ###", "x"), (4, -3, "system", None), (4, 9, "assistant", "late")]
     frame = spark.createDataFrame([(*r, 1) for r in rows + rows[:2]], "conv_id long, turn long, role string, text string, place int")
+    # Repeated rows stay, and stand beside each other.
+    rows = sorted(rows + rows[:2], key=lambda r: r[1])
     got = {r.conv_id: r for r in chat.digests(frame).collect()}
     assert len(got) == 5
     for conv in (1, 2, 3, 4, None):
@@ -118,6 +120,26 @@ def test_chat_round_trip(spark):
     assert chat.digests(frame.limit(0)).count() == 0
 
 
+def test_repeated_turns_equal_sql(spark, tmp_path):
+    import duckdb
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from tallyweave.llm import queries
+    from tallyweave.llm.sql import SQL
+
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "ok"), (1, 1, "assistant", "ok"), (1, 2, "user", "hi"), (2, 0, "user", None), (2, 0, "user", ""), (2, 0, "assistant", "yes"), (2, 0, "system", "be kind"), (2, 0, "tool", "3"), (3, 0, None, "x")]
+    columns = dict(zip(("conv_id", "turn", "role", "text"), zip(*rows, strict=True), strict=True))
+    pq.write_table(pa.table({k: list(v) for k, v in columns.items()}), f"{tmp_path}/conversations.parquet")
+    db = duckdb.connect()
+    db.execute(f"create view conversations as select * from '{tmp_path}/conversations.parquet'")
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    want = db.execute(f"select {', '.join(names)} from ({SQL['op7_chat']}) order by 1").fetchall()
+    got = queries.op7_chat(spark, str(tmp_path)).select(names).orderBy("conv_id").collect()
+    assert [tuple(r) for r in got] == want
+    assert {r.conv_id: (r.n_turns, r.loss_chars) for r in got}[1] == (4, 4)
+
+
 def paths(rows):
     by_id = {r[1]: r for r in rows}
     parents = {r[2] for r in rows}
