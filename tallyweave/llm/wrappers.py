@@ -18,6 +18,9 @@ in that search; inside the article they stay. Equal pages count once. Each page
 is then read through its host's wrapper, or through its own where that finds
 less than half of the page's text outside boilerplate and template.
 
+Elements nested deeper than ``DEPTH`` levels keep their text in its order but
+are no part of the wrapper.
+
 Null pages give empty texts, as do pages without text; pages without a host form
 one group. Broken markup is closed as browsers do. Texts keep every word of the
 article. Repeated rows give repeated results; extra columns are dropped.
@@ -64,6 +67,8 @@ NO_ARTICLE = frozenset("ad advert comment comments reply promo related sponsored
 LEAST_PAGES, LEAST_SHARE = 8, 0.9
 #: Share that article elements must hold where only loose paragraphs stand beside them; share of a page that its host's path must read.
 LOOSE_SHARE, READ_SHARE = 2 / 3, 0.5
+#: Elements nested deeper than this are no nodes of their own; their text stands in the last one that is.
+DEPTH = 200
 #: Hosts that a task merges before it passes them on; slices of one host.
 HOSTS_HELD, SLICES = 5_000, 64
 
@@ -107,6 +112,8 @@ def parse(page: str) -> Node:
         for depth in range(len(stack) - 1, 0, -1):
             if stack[depth][0] in tags:
                 del stack[depth:]
+                if depth >= DEPTH:
+                    stack[-1][1][2].append(" ")
                 return
             if stack[depth][0] in stops:
                 return
@@ -141,7 +148,11 @@ def parse(page: str) -> Node:
         if tag == "header":
             boiler = boiler or not any(s[0] in ("article", "main") for s in stack)
         node: Node = [label, boiler or tag in SKIPPED, []]
-        stack[-1][1][2].append(node)
+        if len(stack) > DEPTH and not node[1]:
+            node = stack[-1][1]
+            node[2].append(" ")
+        else:
+            stack[-1][1][2].append(node)
         if not match.group(0).endswith("/>"):
             stack.append((tag, node))
     text(at, len(page))

@@ -157,3 +157,15 @@ def test_page_of_another_layout_is_read_by_its_own_wrapper(spark):
     rows.append((9, "https://www.site.example/9", other, f"{say(15, 'short')} {say(60, 'long')}"))
     frame = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
     assert {r.page_id: r.text for r in wrappers.main_text(frame).collect()} == {r[0]: r[3] for r in rows}
+
+
+@pytest.mark.parametrize("depth", [150, 199, 200, 201, 400, 10_000])
+def test_deeply_nested_pages_are_read_whole(spark, depth):
+    body = "".join(f"<div>w{i} " if i % 50 == 0 else "<div>" for i in range(depth)) + "core<aside>gone<div>too</div></aside>"
+    body += "".join(f"</div>v{i} " if i % 50 == 0 else "</div>" for i in range(depth))
+    asides = "<aside>" * depth + "x" + "</aside>" * depth
+    page = f"<html><body><article>{body}{asides}end</article></body></html>"
+    want = " ".join([*(f"w{i}" for i in range(0, depth, 50)), "core", *(f"v{i}" for i in range(0, depth, 50)), "end"])
+    frame = spark.createDataFrame([(1, "http://a.example/1", page), (2, "http://a.example/2", "<p>plain</p>")], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.main_text(frame).collect()}
+    assert got == {1: want, 2: "plain"}
