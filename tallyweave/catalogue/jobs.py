@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyweave import config
 from tallyweave.catalogue.registry import query
-from tallyweave.operators.audits import sole_value
+from tallyweave.operators.audits import sole_row
 from tallyweave.operators.cells import factor_columns, population_cells, region_master
 from tallyweave.operators.headers import sanitize_columns, verify_headers
 from tallyweave.plans import build_state, clean_establishments, merge_states, roll_up, save_state, transfer_individual_weights, weigh_state, weight_household
@@ -319,7 +319,7 @@ def sole_year(t):
     """The one year that all orders carry once they are stamped with the latest."""
     latest = t.orders.agg(F.max(F.year("o_orderdate"))).first()[0]
     stamped = t.orders.withColumn("YEAR", F.when(F.year("o_orderdate") <= latest, latest))
-    return t.spark.createDataFrame([(sole_value(stamped, "YEAR"),)], "year long")
+    return sole_row(stamped, "YEAR").select(F.col("YEAR").cast("long").alias("year"))
 
 
 @query(

@@ -3,7 +3,7 @@ from tallyweave.plans.household import HouseholdWeights, prepare_household, weig
 from tallyweave.plans.individuals import prepare_individuals, transfer_individual_weights
 from tallyweave.plans.partials import PartialState, build_state, load_state, merge_states, save_state, weigh_state
 from tallyweave.plans.rollup import roll_up, stack_finals
-from tallyweave.plans.runs import control_period, run_establishments, run_individual, run_ingest, run_monthly, run_roll_up
+from tallyweave.plans.runs import control_period, run_establishments, run_individual, run_ingest, run_monthly, run_roll_up, run_running_roll_up
 
 __all__ = [
     "HouseholdWeights",
@@ -21,6 +21,7 @@ __all__ = [
     "run_ingest",
     "run_monthly",
     "run_roll_up",
+    "run_running_roll_up",
     "save_state",
     "stack_finals",
     "transfer_individual_weights",

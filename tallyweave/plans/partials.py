@@ -78,8 +78,8 @@ def build_state(
     summary = people.withColumn("key", _key()).groupBy("key", *cells.STRATUM)
     summary = summary.agg(F.count(F.lit(1)).alias("_rows"), F.min(ORDER).alias("_first"))
     _save(summary.repartition(buckets, "key"), database, f"{name}_responses", buckets)
-    _save(combination_counts(people, record_id), database, f"{name}_combinations")
     _name_parts(spark, database, name, [name])
+    _save(combination_counts(people, record_id), database, f"{name}_combinations")
     return load_state(spark, database, name)
 
 
@@ -92,6 +92,17 @@ def load_state(spark: SparkSession, database: str, name: str) -> PartialState:
     return PartialState(parts, people, table("responses"), table("combinations"))
 
 
+def has_state(spark: SparkSession, database: str, name: str) -> bool:
+    """Whether a whole state is stored; its combinations are written last."""
+    return spark.catalog.tableExists(f"`{database}`.`{name}_combinations`")
+
+
+def drop_state(spark: SparkSession, database: str, name: str) -> None:
+    """Remove a stored state; the records of its periods stay with their own states."""
+    for suffix in ("combinations", "responses"):
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}_{suffix}`")
+
+
 def merge_responses(left: DataFrame, right: DataFrame) -> DataFrame:
     """One row per response key of either side: the earlier first position, the records of both."""
     if dict(left.dtypes)["_first"] != dict(right.dtypes)["_first"]:
@@ -131,8 +142,8 @@ def save_state(state: PartialState, name: str, database: str, buckets: int = BUC
         raise ValueError(f"{name} is one of the periods")
     spark = state.people.sparkSession
     _save(state.responses, database, f"{name}_responses", buckets)
-    _save(state.combinations, database, f"{name}_combinations")
     _name_parts(spark, database, name, state.parts)
+    _save(state.combinations, database, f"{name}_combinations")
     return load_state(spark, database, name)
 
 

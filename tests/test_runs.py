@@ -7,8 +7,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tallyweave.plans import control_period, run_establishments, run_individual, run_monthly, run_roll_up
-from tallyweave.sources import ingest_finals, publish
+from tallyweave.plans import control_period, run_establishments, run_individual, run_ingest, run_monthly, run_roll_up, run_running_roll_up
+from tallyweave.sources import PeriodStore, compare_runs, ingest_finals, publish
 
 
 @pytest.fixture
@@ -84,6 +84,54 @@ def test_roll_up_run_from_ingested_files(spark, tmp_path, templates, database):
         spark.sql("DROP DATABASE finals_m CASCADE")
 
 
+def test_running_roll_up_equals_the_stacked_one(spark, tmp_path, templates, database):
+    """Month after month merged into the stored state; a revised month starts the merge anew."""
+    rows_ = people()
+    spark.sql(f"CREATE DATABASE finals_r LOCATION '{tmp_path}/finals_r'")
+    spark.sql(f"CREATE DATABASE states_r LOCATION '{tmp_path}/states_r'")
+    fixed = {"finals": "finals_r", "period": {"year": 2021, "quarter": 1}, "database": database, "record_id": "ID", **templates}
+
+    def take_in(month, part):
+        dump(tmp_path / f"finals{month}" / f"JR4M0{month}Y2021.csv", part)
+        run_ingest(spark, f"{tmp_path}/finals{month}", database="finals_r")
+
+    def weighted(run, **more):
+        name = run(spark, "quarterly", **fixed, **more)
+        found = {r.ID: (r.PF_OUTPUT, r.PEMBERAT_1, r.PEMBERAT_FINAL) for r in spark.table(name).collect()}
+        spark.sql(f"DROP TABLE {name}")
+        return found
+
+    def running(**more):
+        return weighted(run_running_roll_up, states="states_r", buckets=2, **more)
+
+    try:
+        take_in(1, rows_[:3])
+        take_in(2, rows_[3:6])
+        assert len(running()) == 6
+        take_in(3, rows_[6:])
+        # The state of January and February is not built again.
+        before = spark.table("states_r.JR4M01Y2021_people").inputFiles()
+        assert {k: v[1:] for k, v in running().items()} == {k: (v[0], v[2]) for k, v in fx.EXPECTED.items()}
+        assert spark.table("states_r.JR4M01Y2021_people").inputFiles() == before
+        spark.sql("DROP TABLE finals_r.JR4M02Y2021")
+        take_in(2, rows_[3:5])
+        revised = running(revised=["JR4M02Y2021"])
+        assert "f" not in revised and revised == weighted(run_roll_up)
+    finally:
+        spark.sql("DROP DATABASE finals_r CASCADE")
+        spark.sql("DROP DATABASE states_r CASCADE")
+
+
+def test_quality_history_of_runs(spark, tmp_path, templates, database):
+    raw = dump(tmp_path / "raw" / "a.csv", people())
+    for run, part in (("first", raw), ("second", dump(tmp_path / "raw2" / "a.csv", people()[:4]))):
+        name = run_monthly(spark, part, **templates, database=database, quality_path=f"{tmp_path}/qc", quality_run=run)
+        spark.sql(f"DROP TABLE {name}")
+    changes = compare_runs(spark, f"{tmp_path}/qc/factors", "first", "second", ["NG", "CIT_NONCIT", "KU_5", "J", "GRP"], ["POPFAC"])
+    assert {r.status for r in changes.collect()} == {"changed"} and changes.count() >= 1
+    assert (tmp_path / "qc" / "factors" / "run=first" / "NG=1").exists()
+
+
 def test_individual_run(spark, tmp_path, database):
     donors = [r | {"NAMA": f"P{r['ID']}", "PEMBERAT_FINAL": str(i), "MONTHS": 3, "YEARS": 2021} for i, r in enumerate(people())]
     dump(tmp_path / "finals" / "JR4M03Y2021.csv", donors)
@@ -116,6 +164,16 @@ def test_establishment_run(spark, tmp_path, database):
     )
     assert name.endswith("`FRDQ1Y2023`")
     got = rows(spark.table(name), "NEWSSID", "REGISTERED_NAME", "SECTION", "SECTION_SMPL", "MSIC2008", "STRATA_EMPL", "Q23104F01010")
+    store = PeriodStore(spark, f"{tmp_path}/store", ["YEAR", "QUARTER"])
+    inputs = {"mapping": f"{tmp_path}/map*.csv", "industries": f"{tmp_path}/industry.csv", "sample": f"{tmp_path}/sample*.csv", "store": store}
+    store.accept(run_establishments(spark, f"{tmp_path}/raw.csv", **inputs))
+    (tmp_path / "revised.csv").write_text((tmp_path / "raw.csv").read_text().replace("own", "renamed"))
+    revised = run_establishments(spark, f"{tmp_path}/revised.csv", **inputs)
+    assert rows(store.current(), "REGISTERED_NAME") == [("Reg",), ("own",)]
+    store.accept(revised)
+    assert rows(store.current(), "REGISTERED_NAME") == [("Reg",), ("renamed",)]
+    store.roll_back(YEAR=2023, QUARTER=1)
+    assert rows(store.current(), "REGISTERED_NAME") == [("Reg",), ("own",)]
     assert got == [("000000000077", "Reg", "A", "C", "00101", 1, 9), ("000000000088", "own", None, "A", "", 4, 1)]
 
 
