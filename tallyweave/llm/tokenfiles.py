@@ -25,6 +25,7 @@ import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
+from string import ascii_lowercase
 
 import numpy as np
 import pyarrow as pa
@@ -104,54 +105,77 @@ class WordEncoder:
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
         self.ends_word[[i for token, i in vocab.items() if token.endswith(word_end)]] = True
+        # ASCII signs that the tokenizer sets apart from letters on either side, and that no added token needs.
+        added = {c for token in self.tokenizer.get_added_tokens_decoder().values() for c in token.content}
+        signs = [c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in added and self._sets_apart(c)]
+        apart = f"[{re.escape(''.join(signs))}]*" if signs else ""
+        self.shape = re.compile(f"({apart})([{_LETTERS}]+)({apart})").fullmatch
         self.forget()
 
+    def _sets_apart(self, sign: str) -> bool:
+        pieces = [p for x in ascii_lowercase for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(f"{x}{sign}{x}")]
+        return pieces == [p for x in ascii_lowercase for p in (x, sign, x)]
+
     def forget(self) -> None:
-        # Slots 0 to 2 are fixed: the empty word and what may follow a plain word.
+        # Slot 0 is the empty word. The arrays grow by doubling; ``held`` and ``count`` say how far they are filled.
         self.slots = {"": 0}
-        self.letters: dict[str, int] = {}
-        stops = [np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, np.int32) for c in ".,"]
-        self.ids = np.concatenate(stops)
-        self.lengths = np.array([0, *map(len, stops)], np.int64)
-
-    def _plain(self, words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids and counts of words of lower-case letters, many in one text."""
-        out = []
-        for i in range(0, len(words), WORDS_A_CALL):
-            call = words[i : i + WORDS_A_CALL]
-            ids = np.array(self.tokenizer.encode(" ".join(call), add_special_tokens=False).ids, np.int32)
+        self.parts = {"": 0}
+        self.ids = np.zeros(1 << 16, np.int32)
+        self.starts = np.zeros(1 << 14, np.int64)
+        self.lengths = np.zeros(1 << 14, np.int64)
+        self.held, self.count = 0, 1
+
+    def _keep(self, ids: np.ndarray, lengths: np.ndarray) -> int:
+        """Append spans to the store; the slot of the first."""
+        first, held, count = self.count, self.held + len(ids), self.count + len(lengths)
+        self.ids, self.starts, self.lengths = _room(self.ids, held), _room(self.starts, count), _room(self.lengths, count)
+        self.ids[self.held : held] = ids
+        self.lengths[first:count] = lengths
+        self.starts[first:count] = self.held + np.cumsum(lengths) - lengths
+        self.held, self.count = held, count
+        return first
+
+    def _spans(self, used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the slots ``used`` in a row, and how many each has."""
+        size = self.lengths[used]
+        ends = np.cumsum(size)
+        return self.ids[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.starts[used] - (ends - size), size)], size
+
+    def _plain(self, words: list[str]) -> None:
+        """Keep the ids of words of lower-case letters, many given in one text."""
+        calls = [words[i : i + WORDS_A_CALL] for i in range(0, len(words), WORDS_A_CALL)]
+        for call, found in zip(calls, self.tokenizer.encode_batch_fast([" ".join(c) for c in calls], add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, np.int32)
             ends = np.flatnonzero(self.ends_word[ids]) + 1
-            out.append((ids, np.diff(np.concatenate([[0], ends]))) if len(ends) == len(call) else self._any(call))
-        return out
+            if len(ends) == len(call):
+                first = self._keep(ids, np.diff(ends, prepend=0))
+                self.parts.update(zip(call, range(first, self.count), strict=True))
+            else:
+                self._any(call, self.parts)
 
-    def _any(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.int32) for w in words]
-        return np.concatenate([*found, np.zeros(0, np.int32)]), np.array([len(f) for f in found], np.int64)
+    def _any(self, words: list[str], into: dict[str, int]) -> None:
+        """Keep the ids of words that are given to the tokenizer one by one."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        first = self._keep(np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum())), lengths)
+        into.update(zip(words, range(first, self.count), strict=True))
 
     def _learn(self, words: list[str]) -> None:
-        plain, odd = [], []
-        for word in words:
-            tail = _STOPS.get(word[-1], 0)
-            letters = word[:-1] if tail else word
-            if _LETTERS(letters):
-                plain.append((word, letters.lower(), tail))
-            else:
-                odd.append(word)
-        base = len(self.lengths)
-        new = list({p[1] for p in plain}.difference(self.letters))
-        self.letters.update((w, base + i) for i, w in enumerate(new))
-        self.slots.update((w, base + len(new) + i) for i, w in enumerate(odd))
-        pairs = [(self.ids, self.lengths), *self._plain(new), self._any(odd)]
-        ids, lengths = (np.concatenate(x) for x in zip(*pairs, strict=True))
-        base = len(lengths)
-        self.slots.update((p[0], base + i) for i, p in enumerate(plain))
-        halves = np.array([(self.letters[letters], tail) for _, letters, tail in plain], np.int64).reshape(-1, 2)
-        self.ids = np.concatenate([ids, _spans(ids, lengths, halves.ravel())])
-        self.lengths = np.concatenate([lengths, lengths[halves].sum(axis=1)])
+        shapes = [(word, self.shape(word)) for word in words]
+        self._any([word for word, shape in shapes if shape is None], self.slots)
+        whole = [word for word, shape in shapes if shape is not None]
+        thirds = [shape.groups() for _, shape in shapes if shape is not None]
+        thirds = [(before, letters.lower(), after) for before, letters, after in thirds]
+        self._any(list({x for before, _, after in thirds for x in (before, after)}.difference(self.parts)), self.parts)
+        self._plain(list({letters for _, letters, _ in thirds}.difference(self.parts)))
+        used = np.fromiter(map(self.parts.__getitem__, chain.from_iterable(thirds)), np.int64, 3 * len(thirds))
+        ids, lengths = self._spans(used)
+        first = self._keep(ids, lengths.reshape(-1, 3).sum(axis=1))
+        self.slots.update(zip(whole, range(first, self.count), strict=True))
 
     def encode_batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each text has."""
-        if len(self.lengths) > STORE_LIMIT:
+        if self.count > STORE_LIMIT:
             self.forget()
         words = [t.replace("\n", " ").split(" ") for t in texts]
         new = set(chain.from_iterable(words)).difference(self.slots)
@@ -159,19 +183,21 @@ class WordEncoder:
             self._learn(list(new))
         counts = np.fromiter(map(len, words), np.int64, len(words))
         used = np.fromiter(map(self.slots.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
-        bounds = np.concatenate([[0], np.cumsum(self.lengths[used])])[np.concatenate([[0], np.cumsum(counts)])]
-        return _spans(self.ids, self.lengths, used), np.diff(bounds)
+        ids, lengths = self._spans(used)
+        bounds = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
+        return ids, np.diff(bounds)
 
 
-_STOPS = {".": 1, ",": 2}
-_LETTERS = re.compile("[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+").fullmatch
+_LETTERS = "A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF"
 
 
-def _spans(values: np.ndarray, lengths: np.ndarray, used: np.ndarray) -> np.ndarray:
-    """The spans number ``used`` of ``values``, which spans of ``lengths`` fill, in a row."""
-    starts, size = np.cumsum(lengths) - lengths, lengths[used]
-    ends = np.cumsum(size)
-    return values[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts[used] - (ends - size), size)]
+def _room(values: np.ndarray, size: int) -> np.ndarray:
+    """``values`` with place for ``size``."""
+    if size <= len(values):
+        return values
+    out = np.zeros(max(size, 2 * len(values)), values.dtype)
+    out[: len(values)] = values
+    return out
 
 
 @lru_cache(maxsize=2)
@@ -193,7 +219,15 @@ def encode(documents: DataFrame, path: str, end_id: int, id_column: str = "doc_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = load(path)
+        collecting = gc.isenabled()
         gc.disable()  # millions of small strings and no cycles among them
+        try:
+            yield from _encoded(coder, batches)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encoded(coder: WordEncoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bytetext.chunks(batches, limit=2 << 20):
             ids, counts = coder.encode_batch(bytetext.text_array(batch).to_pylist())
             ends = np.cumsum(counts)
@@ -202,7 +236,6 @@ def encode(documents: DataFrame, path: str, end_id: int, id_column: str = "doc_i
             bounds = (width * np.concatenate([[0], ends])).astype(np.int32)
             packed = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(bounds), pa.py_buffer(ids)])
             yield pa.RecordBatch.from_arrays([batch.column(0), packed], names=["doc_id", "ids"])
-        gc.enable()
 
     return frame.mapInArrow(run, "doc_id long, ids binary")
 

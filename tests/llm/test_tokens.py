@@ -67,7 +67,8 @@ def test_pack_and_unpack(counts):
 
 def test_word_encoder_equals_library(monkeypatch):
     coder = tokenfiles.WordEncoder(WORDS)
-    some = texts(1500, 6)
+    marked = ["word%%%", "(Word),", "it's", "'self", "s's", "a%%a", "--é--", "<|endoftext|>x", "ab<|startoftext|>", "x'll", "...", "%%%", "a1%", "ÀB!?", "\"q\"'s", "e\u0301!", "a\tb%"]
+    some = [*texts(1500, 6), *marked, " ".join(marked), ""]
     for limit in (tokenfiles.STORE_LIMIT, 3):
         monkeypatch.setattr(tokenfiles, "STORE_LIMIT", limit)
         ids, counts = coder.encode_batch(some)
