@@ -152,13 +152,14 @@ def long_category_total(long: DataFrame, ids: Sequence[str]) -> DataFrame:
 
 
 def _summed_in_row(df: DataFrame, ids: Sequence[str], groups: dict[tuple, list[str]], labels: Sequence[str]) -> DataFrame:
-    """Sums over ids and labels: measures of one label are added within the row, so one entry per label is grouped."""
+    """Sums over ids and labels: one wide row of sums per id is grouped and shuffled, its labels become rows afterwards."""
     entries = [
-        F.struct(*[F.lit(v).alias(n) for n, v in zip(labels, values, strict=True)], _add([_whole(df, m) for m in names]).alias("value"))
+        F.struct(*[F.lit(v).alias(n) for n, v in zip(labels, values, strict=True)], F.sum(_add([_whole(df, m) for m in names])).alias("value"))
         for values, names in groups.items()
     ]
-    long = df.select(*ids, F.inline(F.array(*entries)))
-    return long.groupBy(*ids, *labels).agg(F.sum("value").alias("value"))
+    # Without ids a constant key keeps an empty table from yielding a row of nulls.
+    wide = df.groupBy(*(ids or [F.lit("all")])).agg(F.array(*entries).alias("value"))
+    return wide.select(*ids, F.inline("value"))
 
 
 def row_total_long(df: DataFrame, ids: Sequence[str], parts: Sequence[str], total: str, start: int = 0) -> DataFrame:

@@ -200,3 +200,25 @@ def test_totals_summed_in_the_row_equal_long_ones(spark):
     long = measures.to_long(df, ["id"], 1)
     assert rows(measures.row_total_long(df, ["id"], ["L", "M"], "Q", 1)) == rows(measures.long_row_total(long, ["id"], ["L", "M"], "Q"))
     assert rows(measures.category_total_long(df, ["id"], 1)) == rows(measures.long_category_total(long, ["id"]))
+
+
+@pytest.mark.parametrize("total", ["row", "category"])
+def test_long_totals_shuffle_one_row_per_id(spark, total):
+    """Labels become rows after the shuffle, which would carry a row per id and label otherwise."""
+    schema = "id long, value_id string, L23104F01011 string, L23104F01012 string, M23104F01011 string, M23105F01012 string, M23104F01010 string"
+    data = [(1, "a", "2", "3.9", "4", None, "9"), (1, "a", "2", "3.9", "4", None, "9"), (1, None, None, "x", "", "7", "9"), (None, None, "5", "-1", None, "1", "9")]
+    df = spark.createDataFrame(data, schema)
+    parts = [["L", "M"], "Q"] if total == "row" else []
+    wide_form, long_form = (getattr(measures, n) for n in (f"{total}_total_long", f"long_{total}_total"))
+    for ids in (["id", "value_id"], ["id"], []):
+        for table in (df, df.limit(0)):
+            got, want = wide_form(table, ids, *parts, 2), long_form(measures.to_long(table, ids, 2), ids, *parts)
+            assert (got.columns, rows(got)) == (want.columns, rows(want))
+    got = wide_form(df, ["id", "value_id"], *parts, 2)
+    sums = rows(got.filter("value_id = 'a'"), "variable", "period", "category", "value")
+    if total == "row":
+        assert sums == [("Q", "23104", "0", 18), ("Q", "23104", "1", 12), ("Q", "23104", "2", 6), ("Q", "23105", "2", 0)]
+    else:
+        assert sums == [("L", "23104", "0", 10), ("M", "23104", "0", 8), ("M", "23105", "0", 0)]
+    above, below = got._jdf.queryExecution().optimizedPlan().toString().split("Aggregate", 1)
+    assert "Generate" in above and "Generate" not in below
